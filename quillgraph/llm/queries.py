@@ -7,10 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import secrets
 from .common import table
 from .top_k import top_k
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    base = len(secrets.BASE_RULES)
+    found = secrets.scan(docs).select("doc_id", "spans", F.filter("spans", lambda s: s["rule"] < base).alias("base"))
+    n = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    digest = F.sha2(secrets.spelled(F.col("base")), 256).alias("base_sha256")
+    return found.select("doc_id", n("assign"), n("access"), n("hex"), digest, secrets.spelled(F.col("spans")).alias("spans"))
+
+
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
