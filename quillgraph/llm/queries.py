@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secrets
+from . import secrets, webp
 from .common import table
 from .top_k import top_k
 
 
+def op1_webp_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return webp.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     base = len(secrets.BASE_RULES)
