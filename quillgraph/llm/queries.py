@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secrets, webp
+from . import langid, secrets, webp
 from .common import table
 from .top_k import top_k
 
@@ -16,6 +16,14 @@ def op1_webp_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return webp.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    model = langid.fit(docs.filter(F.coalesce(part, F.lit(0)) != 1))
+    held = docs.select("doc_id", "text", F.coalesce(part == 1, F.lit(False)).alias("held_out"))
+    return langid.predict(held, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     base = len(secrets.BASE_RULES)
