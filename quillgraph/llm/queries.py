@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, secrets, webp
+from . import langid, mixing, ppm, secrets, webp
 from .common import table
 from .top_k import top_k
 
@@ -29,6 +29,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(held, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10
+    return ppm.score(table(spark, sf_dir, "documents"), F.coalesce(part, F.lit(0)) != 0)
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     base = len(secrets.BASE_RULES)
