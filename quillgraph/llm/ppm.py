@@ -1,7 +1,8 @@
-"""Language-model scoring by prediction by partial matching (method C) over bytes.
+"""Language-model scoring by prediction by partial matching over bytes.
 
 A trie of byte contexts up to ORDER long is counted over the whole training corpus. A symbol unseen in a
-context is escaped to the next shorter one, where the symbols of the longer context are excluded. As the
+context is escaped to the next shorter one, where the symbols of the longer context are excluded. Each symbol
+of a context gives DISCOUNT of its count to the escape (method D with a smaller share). As the
 set of symbols after a context is always part of that after its suffix, what an escape leaves is a
 property of the context and is computed once. A text's score is the log10 probability of its lower-cased
 bytes and one end symbol. A unigram score over words comes beside it; the frequent words' counts are
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, keep, slices, utf8
 
-ORDER = 4
+ORDER, DISCOUNT = 5, 0.3
 MOST_GRAMS, HEAVY = 1 << 19, 1 << 17
 BEFORE, END, SYMBOLS = 0xFE, 0xFF, 256  # neither occurs in UTF-8
 _CHUNK, _FLUSH = 2 << 20, 400_000
@@ -130,6 +131,7 @@ class Trie:
     """The contexts of each order as sorted arrays, and a hash table of the longest n-grams' log probabilities."""
 
     def __init__(self, keys: list[np.ndarray], counts: list[np.ndarray]):
+        counts = [c - DISCOUNT for c in counts]
         self.keys, self.log_count, self.contexts = keys, [np.log(c) for c in counts], []
         self.enter, self.enter_escape, self.left, self.left_escape = [], [], [], []
         kinds: list[np.ndarray] = []
@@ -137,7 +139,7 @@ class Trie:
         for k, (key, n) in enumerate(zip(keys, counts, strict=True)):
             context, first = np.unique(key >> np.uint64(8), return_index=True)
             total = np.add.reduceat(n, first).astype(float) if len(key) else np.zeros(0)
-            kind = np.diff(np.append(first, len(key))).astype(float)
+            kind = np.diff(np.append(first, len(key))) * DISCOUNT  # what escapes
             self.contexts.append(context)
             self.enter.append(np.log(total + kind))
             self.enter_escape.append(np.log(kind) - np.log(total + kind))
@@ -155,12 +157,12 @@ class Trie:
                 self.left_escape.append(np.zeros(len(context)))
             kinds.append(kind)
             totals.append(total)
-        self.floor = -np.log(SYMBOLS - (kinds[0][0] if len(kinds[0]) else 0))
+        self.floor = -np.log(SYMBOLS - (kinds[0][0] / DISCOUNT if len(kinds[0]) else 0))
         self._table()
 
     def _table(self) -> None:
         top, values = self.keys[ORDER], self.predict(self.keys[ORDER])
-        self.bits = max(10, (4 * len(top)).bit_length())
+        self.bits = max(10, (2 * len(top)).bit_length())
         self.table = np.full(1 << self.bits, np.uint64(2**64 - 1))
         self.value = np.zeros(1 << self.bits, np.float32)
         rest, self.probes = np.arange(len(top)), 0
