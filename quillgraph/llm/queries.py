@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, neardup, ppm, secrets, webp
+from . import langid, mixing, neardup, pieces, ppm, secrets, webp
 from .common import table
 from .top_k import top_k
 
@@ -21,6 +21,10 @@ def op2_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op3_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
