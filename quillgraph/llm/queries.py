@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import langid, mixing, neardup, pieces, ppm, secrets, webp
 from .common import table
 from .top_k import top_k
@@ -56,7 +58,7 @@ def op10_setsketch_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
+    return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()} | {"pipeline": corpus_pipeline.run}
 
 
 _OP9 = """
