@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import langid, mixing, neardup, pieces, ppm, secrets, webp
+from . import langid, mixing, neardup, pieces, ppm, repeats, secrets, webp
 from .common import table
 from .top_k import top_k
 
@@ -27,6 +27,10 @@ def op3_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove(table(spark, sf_dir, "documents").select("doc_id", "text"), with_text=False)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
