@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import langid, mixing, neardup, pieces, ppm, repeats, secrets, webp
+from . import chats, langid, mixing, neardup, pieces, ppm, repeats, secrets, webp
 from .common import table
 from .top_k import top_k
 
@@ -53,6 +53,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", n("assign"), n("access"), n("hex"), digest, secrets.spelled(F.col("spans")).alias("spans"))
 
 
+def op8_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chats.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
