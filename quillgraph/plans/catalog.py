@@ -1,15 +1,426 @@
-"""Named queries over the driver tables and their DuckDB equivalents."""
+"""Named queries over the driver tables, each with the DuckDB SQL that expresses the same result."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from ..functions import text as X
+from ..operators import gates, graph, identity, ingest, render, site
+from ..operators.taxonomy import Taxonomy
+from . import adapters as A
+from .adapters import table
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _str(name: str):
+    return F.col(name).cast("string")
+
+
+# ---------------------------------------------------------------- sources and segments
+
+_LINES = """
+WITH lines AS (
+    SELECT 'doc' || doc_id AS src, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
+    FROM documents WHERE text IS NOT NULL
+), kept AS (
+    SELECT src, pos, row_number() OVER (PARTITION BY src ORDER BY pos) AS ordinal, trim(regexp_replace(raw, '[\\t ]+', ' ', 'g')) AS t
+    FROM lines WHERE length(raw) >= 20
+)
+"""
+
+
+@query(_LINES + """SELECT src || '-' || lpad(CAST(ordinal AS VARCHAR), 4, '0') || '-' || substr(sha256(t), 1, 10) AS id, src AS source_id,
+    CAST(ordinal AS INTEGER) AS ordinal, 'Segment ' || ordinal AS title, sha256(t) AS sha256, src || '#' || pos AS locator FROM kept""")
+def segment_documents(spark, sf_dir):
+    s = ingest.segments(A.document_drafts(table(spark, sf_dir, "documents")), unicode=False)
+    return s.select("id", F.col("sourceId").alias("source_id"), "ordinal", "title", "sha256", "locator")
+
+
+@query(_LINES + "SELECT src AS source_id, CAST(ordinal - 1 AS INTEGER) AS ordinal, sha256(t) AS sha256 FROM kept WHERE ordinal BETWEEN 2 AND 5")
+def segment_scope(spark, sf_dir):
+    s = ingest.segments(A.document_drafts(table(spark, sf_dir, "documents")), start=2, most=4, unicode=False)
+    return s.select(F.col("sourceId").alias("source_id"), "ordinal", "sha256")
+
+
+@query("""SELECT conv_id, turn, CAST(rn - 1 AS INTEGER) AS ordinal FROM (
+    SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations) WHERE rn BETWEEN 2 AND 4""")
+def source_scope(spark, sf_dir):
+    return ingest.scoped(table(spark, sf_dir, "conversations"), 2, 3, "conv_id", "turn").select("conv_id", "turn", "ordinal")
+
+
+@query("""SELECT doc_id, CAST(o AS INTEGER) AS ordinal, source || '-' || lpad(CAST(o AS VARCHAR), 4, '0') || '-' || substr(sha256(text), 1, 10) AS id
+    FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS o FROM documents)""")
+def segment_ids(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").withColumn("o", F.row_number().over(W.partitionBy("source").orderBy("doc_id")))
+    return d.select("doc_id", F.col("o").alias("ordinal"), F.format_string("%s-%04d-%s", "source", "o", F.substring(X.sha256(F.col("text")), 1, 10)).alias("id"))
+
+
+_TEXT = """trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+    html, '(?i)<(br|/p|/div|/li|/h[1-6])\\b[^>]*>', chr(10), 'g'), '(?i)<li\\b[^>]*>', '- ', 'g'), '(?is)<script\\b.*?</script>', '', 'g'),
+    '(?is)<style\\b.*?</style>', '', 'g'), '<[^>]+>', '', 'g'), '&quot;', '"'), '&apos;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '[\\t ]+', ' ', 'g'), ' ' || chr(10))"""
+
+
+@query(f"SELECT page_id, sha256({_TEXT}) AS text_sha256, CAST(length({_TEXT}) AS INTEGER) AS n_chars FROM pages")
+def html_to_text(spark, sf_dir):
+    t = X.strip_html(F.col("html"), numeric=False, unicode=False)
+    return table(spark, sf_dir, "pages").select("page_id", t.alias("t")).select("page_id", X.sha256(F.col("t")).alias("text_sha256"), F.length("t").alias("n_chars"))
+
+
+_LINKS = """links AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="(/[^"]*)"', 1)) AS target FROM pages)"""
+
+
+@query(f"WITH {_LINKS} SELECT target, count(*) AS n_links, count(DISTINCT page_id) AS n_pages FROM links GROUP BY target")
+def page_links(spark, sf_dir):
+    links = table(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="(/[^"]*)"'), F.lit(1))).alias("target"))
+    return links.groupBy("target").agg(F.count(F.lit(1)).alias("n_links"), F.count_distinct("page_id").alias("n_pages"))
+
+
+@query("""WITH own AS (SELECT 'Pages/' || page_id AS page, regexp_extract_all(html, 'href="/([^"\\]|#]+)"', 1) AS words FROM pages),
+    links AS (SELECT page, trim(unnest(words)) AS target FROM own),
+    targets AS (SELECT page AS t FROM own UNION SELECT regexp_replace(page, '^.*/', '') FROM own)
+    SELECT DISTINCT page || '.md -> ' || target AS detail FROM links WHERE target NOT IN (SELECT t FROM targets)""")
+def broken_links(spark, sf_dir):
+    words = F.regexp_extract_all("html", F.lit(r'href="/([^"\]|#]+)"'), F.lit(1))
+    content = F.array_join(F.transform(words, lambda w: F.concat(F.lit("[["), w, F.lit("]]"))), "\n")
+    pages = table(spark, sf_dir, "pages").select(F.concat(F.lit("Pages/"), _str("page_id"), F.lit(".md")).alias("path"), content.alias("content"))
+    return gates.broken_links(pages)
+
+
+# ---------------------------------------------------------------- identity
+
+_SLUG = "trim(regexp_replace(regexp_replace(lower(strip_accents({0})), '[''’]', '', 'g'), '[^a-z0-9]+', '-', 'g'), '-')"
+
+
+@query(f"SELECT kind, name, CASE WHEN s = '' THEN 'untitled' ELSE s END AS slug FROM (SELECT kind, name, {_SLUG.format('name')} AS s FROM (SELECT DISTINCT 'part' AS kind, p_name AS name FROM part UNION ALL SELECT 'nation', n_name FROM nation UNION ALL SELECT 'word', w FROM (SELECT DISTINCT unnest(string_split(regexp_replace(text, '\s+', ' ', 'g'), ' ')) AS w FROM documents)))")
+def slugs(spark, sf_dir):
+    names = table(spark, sf_dir, "part").select(F.lit("part").alias("kind"), F.col("p_name").alias("name")).distinct()
+    names = names.unionByName(table(spark, sf_dir, "nation").select(F.lit("nation").alias("kind"), F.col("n_name").alias("name")))
+    words = table(spark, sf_dir, "documents").select(F.explode(F.split(F.regexp_replace("text", r"\s+", " "), " ")).alias("name")).distinct()
+    names = names.unionByName(words.select(F.lit("word").alias("kind"), "name"))
+    return names.select("kind", "name", X.slugify(F.col("name")).alias("slug"))
+
+
+_MENTIONS = """m AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 3 = 0 THEN array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') ELSE p_name END AS name, p_type AS category, p_brand AS brand,
+    p_brand || ' of size ' || p_size AS summary, CASE WHEN p_size > 40 THEN 2 WHEN p_size > 20 THEN 1 ELSE 0 END AS sal,
+    CASE WHEN p_retailprice > 1500 THEN 2 WHEN p_retailprice > 1000 THEN 1 ELSE 0 END AS cer, p_name AS excerpt FROM part)"""
+
+
+def _mentions(spark, sf_dir):
+    m = A.part_mentions(table(spark, sf_dir, "part"))
+    return m.withColumn("key", F.concat_ws(":", "category", X.identity(F.col("name"), unicode=False)))
+
+
+def _grouped(spark, sf_dir):
+    m = _mentions(spark, sf_dir).withColumn("group", F.col("key"))
+    return m.withColumn("seq", F.row_number().over(W.partitionBy("group").orderBy("ordinal")))
+
+
+@query(f"WITH {_MENTIONS} SELECT category || ':' || lower(name) AS key, count(*) AS n FROM m GROUP BY 1")
+def group_mentions(spark, sf_dir):
+    return _mentions(spark, sf_dir).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""WITH {_MENTIONS}, g AS (SELECT *, category || ':' || lower(name) AS key, row_number() OVER (PARTITION BY category || ':' || lower(name) ORDER BY k) AS seq FROM m)
+    SELECT key, min(category) AS category, arg_min(name, (CASE WHEN regexp_matches(name, '^[^a-zA-Z]*[A-Z]') THEN 0 ELSE 1 END, name, seq)) AS canonical_name,
+    arg_max(summary, (length(summary), -seq)) AS summary, ['reference', 'supporting', 'primary'][max(sal) + 1] AS salience, ['unresolved', 'inferred', 'explicit'][max(cer) + 1] AS certainty,
+    arg_min('part-' || k, (k, seq)) AS first_segment, count(*) AS n_mentions, array_to_string(list_sort(list_distinct(list(brand))), ',') AS aliases FROM g GROUP BY key""")
+def canonical_entities(spark, sf_dir):
+    e = identity.canonical(_grouped(spark, sf_dir), unicode=False)
+    brands = F.array_sort(F.filter("aliases", lambda a: a.startswith("Brand")))
+    return e.select(F.col("group").alias("key"), "category", F.col("canonicalName").alias("canonical_name"), "summary", "salience", "certainty", F.col("firstSeen.segmentId").alias("first_segment"), F.size("mentions").cast("long").alias("n_mentions"), F.array_join(brands, ",").alias("aliases"))
+
+
+_EVENTS = "e AS (SELECT user_id AS g, event_id AS seq, CAST(json_extract(props, '$.k') AS VARCHAR) AS j FROM events WHERE props IS NOT NULL AND json_extract(props, '$.k') IS NOT NULL), f AS (SELECT *, first_value(j) OVER (PARTITION BY g ORDER BY seq) AS first FROM e)"
+
+
+@query(f"WITH {_EVENTS} SELECT g AS \"group\", 'k' AS name, min(first) AS value FROM f GROUP BY g")
+def attribute_merge(spark, sf_dir):
+    kept, _ = identity.merge_attributes(A.event_attributes(table(spark, sf_dir, "events")))
+    return kept.select("group", F.explode("attributes").alias("name", "v")).select("group", "name", F.to_json("v").alias("value"))
+
+
+@query(f"WITH {_EVENTS} SELECT g AS \"group\", seq, 'k' AS name FROM f WHERE j <> first")
+def attribute_conflicts(spark, sf_dir):
+    return identity.merge_attributes(A.event_attributes(table(spark, sf_dir, "events")))[1]
+
+
+_INDEX = """names AS (SELECT 'nation-' || n_nationkey AS id, n_name AS n FROM nation UNION ALL SELECT 'nation-' || n_nationkey, 'zone ' || n_nationkey % 20 FROM nation UNION ALL SELECT 'region-' || r_regionkey, r_name FROM region),
+    idx AS (SELECT lower(n) AS name, list_sort(list_distinct(list(id))) AS owners FROM names GROUP BY 1)"""
+
+
+@query(f"WITH {_INDEX} SELECT name, array_to_string(owners, ', ') AS owners FROM idx")
+def alias_index(spark, sf_dir):
+    return identity.alias_index(A.place_entities(spark, sf_dir), unicode=False).select("name", F.array_join("owners", ", ").alias("owners"))
+
+
+@query(f"WITH {_INDEX} SELECT name || ' maps to ' || array_to_string(owners, ', ') AS detail FROM idx WHERE len(owners) > 1")
+def alias_collisions(spark, sf_dir):
+    index = identity.alias_index(A.place_entities(spark, sf_dir), unicode=False)
+    return index.filter(F.size("owners") > 1).select(F.concat("name", F.lit(" maps to "), F.array_join("owners", ", ")).alias("detail"))
+
+
+@query("""SELECT * FROM (VALUES ('x:mara', 'x:mara'), ('x:mara venn', 'x:mara'), ('x:venn', 'x:venn'), ('y:m', 'y:m'), ('y:mara', 'y:mara'), ('y:mara venn', 'y:m'),
+    ('z:a', 'z:a'), ('z:b', 'z:a'), ('z:d', 'z:d'), ('x:other', 'x:other')) t(key, "group")""")
+def greedy_merge(spark, sf_dir):
+    rows = [("x", "Mara", []), ("x", "Mara Venn", ["Mara", "Venn"]), ("x", "Venn", []), ("y", "M", []), ("y", "Mara", []), ("y", "Mara Venn", ["M", "Mara"]), ("z", "A", []), ("z", "B", ["A"]), ("z", "D", ["B"]), ("x", "Other", ["Nobody"])]
+    m = spark.createDataFrame(rows, "category string, name string, aliases array<string>").withColumn("key", F.concat_ws(":", "category", X.identity(F.col("name"), unicode=False)))
+    return identity.greedy_merge(m, identity.merge_edges(m, identity.alias_owners(m, unicode=False)))
+
+
+@query(f"""WITH {_INDEX}, one AS (SELECT name, owners[1] AS id FROM idx WHERE len(owners) = 1),
+    r AS (SELECT n_name AS subject, CASE WHEN n_nationkey % 5 = 0 THEN 'literal: ' || r_name WHEN n_nationkey % 5 = 1 THEN 'zone ' || n_nationkey ELSE r_name END AS object FROM nation JOIN region ON n_regionkey = r_regionkey)
+    SELECT subject, object, s.id AS subject_id, CASE WHEN object LIKE 'literal:%' THEN NULL ELSE o.id END AS object_id, CASE WHEN object LIKE 'literal:%' THEN trim(substr(object, 9)) END AS literal_object
+    FROM r LEFT JOIN one s ON lower(subject) = s.name LEFT JOIN one o ON lower(object) = o.name""")
+def resolve_relationships(spark, sf_dir):
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    k = F.col("n_nationkey")
+    object = F.when(k % 5 == 0, F.concat(F.lit("literal: "), "r_name")).when(k % 5 == 1, F.concat(F.lit("zone "), k.cast("string"))).otherwise(F.col("r_name"))
+    rows = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("subject"), object.alias("object")).withColumn("literal_object", graph.literal_object(F.col("object")))
+    index = identity.alias_index(A.place_entities(spark, sf_dir), unicode=False)
+    rows = identity.resolve(rows, "subject", "subject_id", index, unicode=False)
+    return identity.resolve(rows, "object", "object_id", index, F.col("literal_object").isNull(), False).select("subject", "object", "subject_id", "object_id", "literal_object")
+
+
+# ---------------------------------------------------------------- gates
+
+
+@query("SELECT l_orderkey || '-' || l_linenumber || ': object ' || l_partkey AS detail FROM lineitem WHERE l_partkey NOT IN (SELECT s_suppkey FROM supplier) UNION ALL SELECT l_orderkey || '-' || l_linenumber || ': subject ' || l_suppkey FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)")
+def relationship_endpoints(spark, sf_dir):
+    known = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"))
+    rows = table(spark, sf_dir, "lineitem").select(F.concat_ws("-", _str("l_orderkey"), _str("l_linenumber")).alias("id"), F.col("l_suppkey").alias("subjectId"), F.col("l_partkey").alias("objectId"))
+    return gates.endpoints(known, rows, literal=None)
+
+
+@query("""SELECT DISTINCT CASE WHEN o.o_orderkey IS NULL THEN 'Unknown segment ' || l_orderkey ELSE l_orderkey || ': source mismatch' END AS detail
+    FROM lineitem LEFT JOIN orders o ON l_orderkey = o_orderkey WHERE o.o_orderkey IS NULL OR l_suppkey % 3 <> o_custkey % 3""")
+def provenance_check(spark, sf_dir):
+    segments = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"), (F.col("o_custkey") % 3).alias("sourceId"))
+    values = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("segmentId"), (F.col("l_suppkey") % 3).alias("sourceId"))
+    return gates.provenance(segments, values)
+
+
+@query("SELECT d.doc_id || ': ' || coalesce(n, 0) || ' extraction records' AS detail FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n FROM labels GROUP BY 1) l ON d.doc_id = l.doc_id WHERE coalesce(n, 0) <> 1 UNION ALL SELECT 'Unknown extraction ' || doc_id FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)")
+def coverage(spark, sf_dir):
+    return gates.coverage(table(spark, sf_dir, "documents").select(_str("doc_id").alias("id")), table(spark, sf_dir, "labels").select(_str("doc_id").alias("segmentId")))
+
+
+@query("""SELECT l_orderkey || ': ' || min(l_linenumber) || '..' || max(l_linenumber) || ' in ' || count(*) || ' segments' AS detail FROM lineitem GROUP BY l_orderkey
+    HAVING min(l_linenumber) <> 1 OR max(l_linenumber) <> count(*) OR count(DISTINCT l_linenumber) <> count(*)
+    UNION ALL SELECT conv_id || ': ' || min(turn + 1) || '..' || max(turn + 1) || ' in ' || count(*) || ' segments' FROM conversations GROUP BY conv_id HAVING min(turn) <> 0 OR max(turn) + 1 <> count(*) OR count(DISTINCT turn) <> count(*)""")
+def source_order(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").withColumn("turn", F.col("turn") + 1)
+    return gates.ordering(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber").unionByName(gates.ordering(turns, "conv_id", "turn"))
+
+
+@query("SELECT DISTINCT item_id, doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)")
+def evidence_exactness(spark, sf_dir):
+    return A.quotations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("SELECT item_id, count(DISTINCT doc_id) AS n_docs FROM benchmark b JOIN documents d ON contains(d.text, b.text) GROUP BY item_id HAVING count(DISTINCT doc_id) >= 2")
+def evidence_two_segments(spark, sf_dir):
+    found = A.quotations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.groupBy("item_id").agg(F.count_distinct("doc_id").alias("n_docs")).filter("n_docs >= 2")
+
+
+@query("SELECT doc_id || ' excerpt 1: ' || substr(x, 1, 80) AS detail FROM (SELECT doc_id, text, CASE WHEN lang = 'de' THEN '#' || substr(text, 5, 100) ELSE substr(text, 5, 100) END AS x FROM documents WHERE text IS NOT NULL) WHERE NOT contains(text, x)")
+def fabricated_evidence(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").filter(F.col("text").isNotNull())
+    own = F.substring("text", 5, 100)
+    quoted = F.when(F.col("lang") == "de", F.concat(F.lit("#"), own)).otherwise(own)
+    none = lambda kind: F.array().cast(kind).alias
+    extractions = docs.select(_str("doc_id").alias("segmentId"), none("array<struct<excerpt:string,claims:array<struct<excerpt:string>>>>")("entities"), F.array(F.struct(quoted.alias("excerpt"))).alias("relationships"), none("array<struct<text:string>>")("passages"))
+    return gates.evidence(docs.select(_str("doc_id").alias("id"), "text"), extractions)
+
+
+@query("SELECT sha256(text) AS id, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
+def duplicate_ids(spark, sf_dir):
+    return gates.duplicate_ids(table(spark, sf_dir, "documents").select(X.sha256(F.col("text")).alias("id")))
+
+
+def _event_taxonomy() -> Taxonomy:
+    attribute = lambda kind, required=False: {"type": kind, "required": required, "description": ""}
+    return Taxonomy([{"id": "click", "attributes": {"k": attribute("number")}, "relations": ["sees"]}, {"id": "error", "attributes": {"k": attribute("string"), "code": attribute("number", True)}}, {"id": "view", "attributes": {}}], ["quote"], ["knows"])
+
+
+@query("""WITH e AS (SELECT CAST(event_id AS VARCHAR) AS s, event_type AS c, json_extract(props, '$.k') AS k FROM events)
+    SELECT DISTINCT s || ': category ' || c AS detail FROM e WHERE c NOT IN ('click', 'error', 'view')
+    UNION ALL SELECT DISTINCT s || ': ' || c || '.k is not locked' FROM e WHERE c = 'view' AND k IS NOT NULL
+    UNION ALL SELECT DISTINCT s || ': ' || c || '.k has the wrong type' FROM e WHERE k IS NOT NULL AND ((c = 'click' AND json_type(k) NOT IN ('UBIGINT', 'BIGINT', 'DOUBLE')) OR (c = 'error' AND json_type(k) <> 'VARCHAR'))
+    UNION ALL SELECT DISTINCT s || ': error.code is required' FROM e WHERE c = 'error'
+    UNION ALL SELECT DISTINCT s || ': passage kind ' || CASE WHEN CAST(s AS BIGINT) % 2 = 0 THEN 'aside' END FROM e WHERE CAST(s AS BIGINT) % 2 = 0
+    UNION ALL SELECT DISTINCT s || ': relation hates' FROM e WHERE CAST(s AS BIGINT) % 3 = 0""")
+def taxonomy_conformance(spark, sf_dir):
+    i = F.col("event_id")
+    x = table(spark, sf_dir, "events").select(
+        _str("event_id").alias("segmentId"), F.array(F.struct(F.col("event_type").alias("category"), F.parse_json(F.coalesce("props", F.lit("{}"))).alias("attributes"))).alias("entities"),
+        F.array(F.struct(F.when(i % 2 == 0, "aside").otherwise("quote").alias("kind"))).alias("passages"), F.array(F.struct(F.when(i % 3 == 0, "hates").when(i % 3 == 1, "sees").otherwise("knows").alias("predicate"))).alias("relationships"),
+    )
+    return gates.conformance(x, _event_taxonomy())
+
+
+@query("SELECT conv_id || ' is segment ' || (turn + 1) AS detail FROM conversations WHERE turn + 1 > 4")
+def spoiler_boundary(spark, sf_dir):
+    return gates.spoilers(table(spark, sf_dir, "conversations").select(_str("conv_id").alias("segmentId"), (F.col("turn") + 1).alias("segmentOrdinal")), 4)
+
+
+@query("SELECT CASE WHEN toxic = 1 THEN 'error' WHEN quality = 0 THEN 'review' ELSE 'none' END AS severity, count(*) AS n, CASE WHEN count(*) FILTER (WHERE toxic = 1) > 0 THEN 'fail' WHEN count(*) FILTER (WHERE quality = 0) > 0 THEN 'warning' ELSE 'pass' END AS status FROM labels GROUP BY 1")
+def review_queue(spark, sf_dir):
+    severity = F.when(F.col("toxic") == 1, "error").when(F.col("quality") == 0, "review").otherwise("none")
+    counts = table(spark, sf_dir, "labels").groupBy(severity.alias("severity")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.select("severity", "n", F.when(F.col("severity") == "error", "fail").when(F.col("severity") == "review", "warning").otherwise("pass").alias("status"))
+
+
+@query("SELECT CASE WHEN l.doc_id IS NULL THEN 'Missing ' || d.doc_id ELSE 'Unexpected ' || l.doc_id END AS detail FROM (SELECT DISTINCT doc_id FROM labels) l FULL OUTER JOIN documents d ON l.doc_id = d.doc_id WHERE l.doc_id IS NULL OR d.doc_id IS NULL")
+def raw_consumption(spark, sf_dir):
+    names = table(spark, sf_dir, "labels").select(_str("doc_id").alias("name"))
+    return gates.raw_difference(names, table(spark, sf_dir, "documents").select(_str("doc_id").alias("id")))
+
+
+@query("""SELECT 'source-coverage' AS id, CASE WHEN n = 0 THEN 'pass' ELSE 'fail' END AS status, n AS n_details FROM (SELECT count(*) AS n FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n FROM labels GROUP BY 1) l ON d.doc_id = l.doc_id WHERE coalesce(n, 0) <> 1)
+    UNION ALL SELECT 'source-order', CASE WHEN count(*) = 0 THEN 'pass' ELSE 'fail' END, count(*) FROM (SELECT conv_id FROM conversations GROUP BY conv_id HAVING min(turn) <> 0 OR max(turn) + 1 <> count(*) OR count(DISTINCT turn) <> count(*))
+    UNION ALL SELECT 'identity', CASE WHEN count(*) = 0 THEN 'pass' ELSE 'fail' END, count(*) FROM (SELECT 1 FROM documents GROUP BY text HAVING count(*) > 1)
+    UNION ALL SELECT 'spoiler-boundary', CASE WHEN count(*) = 0 THEN 'pass' ELSE 'fail' END, count(*) FROM conversations WHERE turn + 1 > 4
+    UNION ALL SELECT 'review-queue', CASE WHEN count(*) = 0 THEN 'pass' ELSE 'warning' END, count(*) FROM labels WHERE quality = 0""")
+def gate_report(spark, sf_dir):
+    docs, labels, turns = (table(spark, sf_dir, n) for n in ("documents", "labels", "conversations"))
+    chats = turns.select(_str("conv_id").alias("segmentId"), (F.col("turn") + 1).alias("segmentOrdinal"))
+    listed = [
+        gates.Gate("source-coverage", gates.coverage(docs.select(_str("doc_id").alias("id")), labels.select(_str("doc_id").alias("segmentId"))), "", ""),
+        gates.Gate("source-order", gates.ordering(chats, "segmentId", "segmentOrdinal"), "", ""),
+        gates.Gate("identity", gates.duplicate_ids(docs, "text").select(F.col("text").alias("detail")), "", ""),
+        gates.Gate("spoiler-boundary", gates.spoilers(chats, 4), "", ""),
+        gates.Gate("review-queue", labels.filter("quality = 0").select(_str("doc_id").alias("detail")), "", "", "warning"),
+    ]
+    return gates.report(spark, listed).select("id", "status", F.size("details").cast("long").alias("n_details"))
+
+
+# ---------------------------------------------------------------- pilot
+
+
+@query("""SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM documents)
+    WHERE n <= 6 OR list_contains(list_transform([0, 1, 2, 3, 4, 5], lambda j: CAST(floor(j * (n - 1) / 5.0 + 0.5) AS BIGINT)), i)""")
+def pilot_sample(spark, sf_dir):
+    return ingest.stratified(table(spark, sf_dir, "documents"), 6, ("doc_id",), ("source",)).select("source", "doc_id")
+
+
+@query("""SELECT doc_id, sha256(s) AS sample_sha256, CAST(length(s) AS INTEGER) AS n_chars FROM (SELECT doc_id, CASE WHEN length(text) <= 3000 THEN text ELSE
+    substr(text, 1, 1000) || chr(10) || chr(10) || '[... middle sample ...]' || chr(10) || chr(10) || substr(text, CAST(floor((length(text) - 1000) / 2.0) AS BIGINT) + 1, 1000) || chr(10) || chr(10) || '[... ending sample ...]' || chr(10) || chr(10) || right(text, 1000) END AS s FROM documents)""")
+def pilot_text_sample(spark, sf_dir):
+    s = table(spark, sf_dir, "documents").select("doc_id", X.pilot_sample(F.col("text"), 3000).alias("s"))
+    return s.select("doc_id", X.sha256(F.col("s")).alias("sample_sha256"), F.length("s").alias("n_chars"))
+
+
+@query("SELECT source, min(doc_id) AS doc_id, sha256(text) AS sha256 FROM documents GROUP BY source, text")
+def dedupe_provenance(spark, sf_dir):
+    return table(spark, sf_dir, "documents").groupBy("source", X.sha256(F.col("text")).alias("sha256")).agg(F.min("doc_id").alias("doc_id"))
+
+
+@query("SELECT l_orderkey, l_linenumber, 'claim-' || substr(sha256(l_orderkey || chr(0) || l_linenumber || chr(0) || l_returnflag), 1, 16) AS id FROM lineitem")
+def stable_ids(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", X.stable_id("claim", _str("l_orderkey"), _str("l_linenumber"), F.col("l_returnflag")).alias("id"))
+
+
+@query("SELECT event_id, '{\"a\":' || event_id || ',\"k\":' || CAST(json_extract(props, '$.k') AS VARCHAR) || '}' AS j FROM events WHERE props IS NOT NULL")
+def canonical_json(spark, sf_dir):
+    e = table(spark, sf_dir, "events").filter(F.col("props").isNotNull())
+    spelled = F.concat(F.regexp_replace("props", r"\}\s*$", ""), F.lit(', "a": '), _str("event_id"), F.lit("}"))
+    return e.select("event_id", X.canonical_json(F.parse_json(spelled)).alias("j"))
+
+
+# ---------------------------------------------------------------- rendering
+
+
+@query("""SELECT 'Customers/' || c_custkey || '.md' AS path, '# ' || c_name || chr(10) || chr(10) || CASE WHEN t IS NULL THEN '- None recorded.' ELSE t END || chr(10) AS content
+    FROM customer LEFT JOIN (SELECT o_custkey, string_agg('- placed → [[Orders/' || o_orderkey || '|' || CASE WHEN length(o_orderpriority) <= 8 THEN o_orderpriority ELSE rtrim(substr(o_orderpriority, 1, 7)) || '…' END || ']]', chr(10) ORDER BY o_orderkey) AS t FROM orders GROUP BY 1) ON c_custkey = o_custkey""")
+def render_entity_pages(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    line = F.concat(F.lit("placed → "), render.link(F.concat(F.lit("Orders/"), _str("o_orderkey")), X.truncate(F.col("o_orderpriority"), 8)))
+    own = render.in_order(orders, "o_custkey", line, F.col("o_orderkey"))
+    rows = table(spark, sf_dir, "customer").join(own, F.col("c_custkey") == F.col("o_custkey"), "left")
+    return rows.select(F.concat(F.lit("Customers/"), _str("c_custkey"), F.lit(".md")).alias("path"), render.page(F.lit(""), F.concat(F.lit("# "), "c_name"), "", X.bullets(F.col("lines"))).alias("content"))
+
+
+_INDEX_PAGES = "pages_ AS (SELECT 'Index/' || p_type || '.md' AS path, '## ' || p_type || chr(10) || chr(10) || string_agg('- [[Parts/' || p_partkey || '|' || p_name || ']]', chr(10) ORDER BY p_partkey) || chr(10) AS content FROM part GROUP BY p_type)"
+
+
+def _index_pages(spark, sf_dir):
+    lines = render.in_order(table(spark, sf_dir, "part"), "p_type", render.link(F.concat(F.lit("Parts/"), _str("p_partkey")), F.col("p_name")), F.col("p_partkey"))
+    return lines.select(F.concat(F.lit("Index/"), "p_type", F.lit(".md")).alias("path"), render.page(F.lit(""), F.concat(F.lit("## "), "p_type"), "", X.bullets(F.col("lines"))).alias("content"))
+
+
+@query(f"WITH {_INDEX_PAGES} SELECT * FROM pages_")
+def render_index(spark, sf_dir):
+    return _index_pages(spark, sf_dir)
+
+
+@query(f"WITH {_INDEX_PAGES} SELECT count(*) AS files, sha256(string_agg(path || chr(0) || sha256(content), chr(0) ORDER BY path)) AS hash FROM pages_")
+def render_digest(spark, sf_dir):
+    files, value = render.digest(_index_pages(spark, sf_dir))
+    return spark.createDataFrame([(files, value)], "files long, hash string")
+
+
+@query("""SELECT conv_id, turn, CASE WHEN t <> '' THEN 'Chapter ' || (turn + 1) || ': ' || t ELSE 'Chapter ' || (turn + 1) END AS label
+    FROM (SELECT conv_id, turn, trim(regexp_replace(regexp_replace(CASE WHEN turn % 2 = 0 THEN 'Chapter ' || turn || '. ' ELSE '' END || substr(text, 1, 40), '[ \\t\\r\\n]+', ' ', 'g'), '(?i)^chapter\\s+(?:[ivxlcdm]+|\\d+)[.:\\s–—-]*', '')) AS t FROM conversations)""")
+def chapter_labels(spark, sf_dir):
+    title = F.concat(F.when(F.col("turn") % 2 == 0, F.concat(F.lit("Chapter "), _str("turn"), F.lit(". "))).otherwise(""), F.substring("text", 1, 40))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", X.chapter_label(F.col("turn") + 1, X.inline(title)).alias("label"))
+
+
+@query("""SELECT p_type AS category, p_name AS name, CASE WHEN n = 1 THEN 'Parts/' || s ELSE 'Parts/' || s || '-' || right(id, 8) END AS path
+    FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY id) AS n FROM (SELECT p_type, p_name, lower(p_type) || '-' || replace(p_name, ' ', '-') AS id, replace(p_name, ' ', '-') AS s FROM (SELECT DISTINCT p_type, p_name FROM part)))""")
+def entity_paths(spark, sf_dir):
+    e = table(spark, sf_dir, "part").select("p_type", "p_name").distinct().select(F.concat_ws("-", F.lower("p_type"), F.replace(F.col("p_name"), F.lit(" "), F.lit("-"))).alias("id"), F.col("p_type").alias("category"), F.col("p_name").alias("canonicalName"))
+    taxonomy = Taxonomy([{"id": c, "folder": "Parts"} for c in ("ECONOMY", "STANDARD", "PROMO", "SMALL", "MEDIUM", "LARGE")])
+    return render.entity_paths(e, taxonomy).join(e, "id").select("category", F.col("canonicalName").alias("name"), "path")
+
+
+# ---------------------------------------------------------------- site
+
+
+@query("""SELECT page_id || '.html' AS path, w AS reference FROM (SELECT page_id, unnest(list_distinct(regexp_extract_all(html, 'href="/([A-Za-z]+)"', 1))) AS w FROM pages) WHERE w || '.css' NOT IN (SELECT n_name || '.css' FROM nation UNION ALL SELECT 'the.css')""")
+def missing_assets(spark, sf_dir):
+    words = F.array_distinct(F.regexp_extract_all("html", F.lit('href="/([A-Za-z]+)"'), F.lit(1)))
+    content = F.array_join(F.transform(words, lambda w: F.concat(F.lit('<link href="/site/'), w, F.lit('.css?v=1">'))), "\n")
+    files = table(spark, sf_dir, "pages").select(F.concat(_str("page_id"), F.lit(".html")).alias("path"), content.alias("content"))
+    styles = table(spark, sf_dir, "nation").select(F.concat("n_name", F.lit(".css")).alias("path"), F.lit("").alias("content"))
+    files = files.unionByName(styles).unionByName(spark.createDataFrame([("the.css", "")], "path string, content string"))
+    return site.missing_assets(files, "/site").select("path", F.regexp_extract("reference", r"^/site/(.*)\.css$", 1).alias("reference"))
+
+
+@query("""SELECT n_name || '.html' AS path, 'copy' AS action, 2 AS step FROM nation UNION ALL SELECT r_name || '.css', 'copy', 1 FROM region
+    UNION ALL SELECT DISTINCT c_mktsegment || '.html', 'delete', 3 FROM customer UNION ALL SELECT DISTINCT p_type || '.css', 'delete', 4 FROM part""")
+def sync_plan(spark, sf_dir):
+    files = lambda name, column, ending: table(spark, sf_dir, name).select(F.concat(column, F.lit(ending)).alias("path")).distinct()
+    source = files("nation", "n_name", ".html").unionByName(files("region", "r_name", ".css"))
+    return site.sync_plan(source, source.unionByName(files("customer", "c_mktsegment", ".html")).unionByName(files("part", "p_type", ".css")))
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verbatim evidence and the gate report in one table."""
+    found = evidence_exactness(spark, sf_dir).groupBy().agg(F.count(F.lit(1)).alias("n_details"))
+    return gate_report(spark, sf_dir).unionByName(found.select(F.lit("evidence").alias("id"), F.lit("found").alias("status"), "n_details"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_ORACLES)
