@@ -176,17 +176,16 @@ def remove(docs: DataFrame, with_text: bool = True) -> DataFrame:
 
     kept is binary: a removed run may begin inside a character."""
     names = [c for c in docs.columns if c not in ("kept", "n_bytes", "n_removed", "n_spans", "kept_sha256") and (with_text or c != "text")]
-    keyed = docs.withColumn("h", F.xxhash64("doc_id", "text")) if "h" not in docs.columns else docs
-    own = keyed.select("h", "text").filter(F.length("text") > 0)
-    found = repeated(own)
+    keyed = docs.withColumn("__h", F.xxhash64("doc_id", "text"))
+    found = repeated(keyed.filter(F.length("text") > 0).select(F.col("__h").alias("h"), "text"))
     # texts without a span are described where they are, without Python
-    joined = keyed.withColumnRenamed("h", "__h").join(found.withColumnRenamed("h", "__h"), "__h", "left")
+    joined = keyed.join(found.select(F.col("h").alias("__h"), F.col("spans").alias("__spans")), "__h", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k = batch.schema.get_field_index("text")
             data, at = utf8(batch.column(k))
-            lists = batch.column(batch.schema.get_field_index("spans"))
+            lists = batch.column(batch.schema.get_field_index("__spans"))
             n_removed, n_spans, digest, kept = [], [], [], []
             for i in range(batch.num_rows):
                 text = data[at[i] : at[i + 1]]
@@ -206,7 +205,7 @@ def remove(docs: DataFrame, with_text: bool = True) -> DataFrame:
 
     shape = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[F.col(f"`{c}`") for c in names]).schema]
     schema = ", ".join([*shape, _RESULT] + ["kept binary"] * with_text)
-    cut = joined.filter(F.col("spans").isNotNull()).select(*{*names, "text"}, "spans").mapInArrow(run, schema)
+    cut = joined.filter(F.col("__spans").isNotNull()).select(*[F.col(f"`{c}`") for c in dict.fromkeys([*names, "text"])], "__spans").mapInArrow(run, schema)
     raw = F.coalesce("text", F.lit("")).cast("binary")
-    plain = joined.filter(F.col("spans").isNull()).select(*[F.col(f"`{c}`") for c in names], F.octet_length(raw).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2(raw, 256).alias("kept_sha256"), *[raw.alias("kept")] * with_text)
+    plain = joined.filter(F.col("__spans").isNull()).select(*[F.col(f"`{c}`") for c in names], F.octet_length(raw).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2(raw, 256).alias("kept_sha256"), *[raw.alias("kept")] * with_text)
     return cut.unionByName(plain)
