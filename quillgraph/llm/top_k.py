@@ -62,22 +62,22 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class _Block:
     """A block of queries with the interval [low, high) in which each kth score lies."""
 
-    def __init__(self, ids: list[int], vectors: list[list[int]], k: int, reach: int):
-        self.ids, self.k = np.asarray(ids, np.int64), k
+    def __init__(self, ids: list[int], vectors: list[list[int]], k: int, reach: int, bins: int = BINS):
+        self.ids, self.k, self.bins = np.asarray(ids, np.int64), k, bins
         self.parts = []
         lengths = np.asarray([len(v) for v in vectors])
         for d in np.unique(lengths):
             rows = np.flatnonzero(lengths == d)
             self.parts.append((rows, np.asarray([vectors[i] for i in rows], np.int64).reshape(len(rows), d)))
         norms = [int(sum(x * x for x in map(int, v)) ** 0.5) + 2 for v in vectors]
-        bound = [min(LONG - 1, n * reach) for n in norms]
+        bound = [min(LONG, n * reach) for n in norms]
         self.low = np.asarray([-b for b in bound], object)
         self.high = np.asarray([b + 1 for b in bound], object)
         self.above = np.zeros(len(ids), np.int64)
         self.open = np.ones(len(ids), bool)
 
     def width(self) -> np.ndarray:
-        return np.asarray([max(1, -(-(h - l) // BINS)) for l, h in zip(self.low, self.high, strict=True)], object)
+        return np.asarray([max(1, -(-(h - l) // self.bins)) for l, h in zip(self.low, self.high, strict=True)], object)
 
     def scored(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(query rows, candidate ids, scores with a row per query); a query's own row is marked by the mask later."""
@@ -97,13 +97,13 @@ def _histogram(block: _Block):
     last = np.asarray([int(h) - 1 for h in block.high], np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((len(block.ids), BINS), np.int64)
+        counts = np.zeros((len(block.ids), block.bins), np.int64)
         for queries, ids, scores in block.scored(batches):
             lo, w, hi = low[queries][:, None], width[queries][:, None], last[queries][:, None]
             inside = (scores >= lo) & (scores <= hi) & (ids[None, :] != block.ids[queries][:, None])
             # unsigned difference: the interval may be wider than the range of long
             b = (scores.astype(np.uint64) - lo.astype(np.uint64)) // w.astype(np.uint64)
-            flat = (queries[:, None] * BINS + np.minimum(b, BINS - 1).astype(np.int64))[inside]
+            flat = (queries[:, None] * block.bins + np.minimum(b, block.bins - 1).astype(np.int64))[inside]
             counts += np.bincount(flat, minlength=counts.size).reshape(counts.shape)
         # bins below a task's own kth value cannot hold the global one
         need = np.maximum(block.k - block.above, 1)[:, None]
@@ -166,7 +166,7 @@ def _select(candidates: DataFrame, block: _Block) -> DataFrame:
     return ranked.join(F.broadcast(ids), "q").select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
-def top_k(vectors: DataFrame, is_query, k: int = 5, query_block: int = QUERY_BLOCK, **columns) -> DataFrame:
+def top_k(vectors: DataFrame, is_query, k: int = 5, query_block: int = QUERY_BLOCK, bins: int = BINS, **columns) -> DataFrame:
     """The k best candidates of every query row: query_id, rank, vec_id, score.
 
     is_query: a condition on vec_id. Queries go in hashed blocks of about query_block rows, so what the
@@ -182,7 +182,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, query_block: int = QUERY_BLO
     for b in range(blocks):
         block = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).collect() if n else []
         if block:
-            held = _Block([r.vec_id for r in block], [r.v for r in block], k, int(reach**0.5) + 2)
+            held = _Block([r.vec_id for r in block], [r.v for r in block], k, int(reach**0.5) + 2, bins)
             part = keep(_select(rows, held))
             out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
