@@ -9,7 +9,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from .operators import collect, gates, ingest, taxonomy
+from .operators import collect, gates, ingest, prompts, taxonomy
 from .operators.project import Project, _load, find_root, write_json
 
 
@@ -40,7 +40,11 @@ def run(args: argparse.Namespace, spark: SparkSession) -> tuple[dict, int]:
     if args.command == "extract":
         return {"extractions": p.extract(args.responses).count()}, 0
     if args.command == "prepare":
-        items = collect.work_items(p.read("segments"), "Extract entities, relationships and passages.", taxonomy.stable_json(p.taxonomy.value()))
+        if args.stage == "pilot":
+            items = prompts.pilot_item(p.read("segments"), p.taxonomy, p.config.profile)
+        else:
+            taxonomy.require_lock(p.taxonomy, p.locked(), p.read("segments"))
+            items = collect.work_items(p.read("segments"), prompts.EXTRACTION, taxonomy.stable_json(p.taxonomy.value()))
         items.write.mode("overwrite").parquet(p.table("work"))
         return {"items": p.read("work").count(), "concurrency": p.config.concurrency}, 0
     if args.command == "normalize":
@@ -68,7 +72,8 @@ def main(argv: list[str] | None = None) -> int:
     onboard.add_argument("--decisions")
     onboard.add_argument("--accept-recommended", action="store_true")
     commands.add_parser("extract").add_argument("--responses")
-    for name in ("ingest", "lock", "prepare", "normalize", "render", "verify", "build"):
+    commands.add_parser("prepare").add_argument("stage", choices=("pilot", "extraction"))
+    for name in ("ingest", "lock", "normalize", "render", "verify", "build"):
         commands.add_parser(name)
     args = parser.parse_args(argv)
     try:

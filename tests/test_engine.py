@@ -149,6 +149,25 @@ def test_stratified_sample(spark):
     assert ingest.stratified(s.limit(4)).count() == 4
 
 
+def test_pilot_work_item(project):
+    from quillgraph.operators import prompts
+
+    item = prompts.pilot_item(project.read("segments"), project.taxonomy, "novel").first()
+    assert item.path == "work/taxonomy-pilot.md" and "| One: The Pier ---" in item.content and "Profile: novel" in item.content
+
+
+def test_pilot_evidence(project):
+    from quillgraph.operators.taxonomy import check_pilot_evidence
+
+    s = project.read("segments")
+    one, two = [r.id for r in s.orderBy("ordinal").collect()]
+    told = lambda *examples: {"proposals": [{"id": "lamp", "examples": [{"segmentId": i, "evidence": e} for i, e in examples]}]}
+    check_pilot_evidence(told((one, "green lamp"), (two, "The lamp was out")), s)
+    for bad in (told((one, "green lamp")), told((one, "never"), (two, "lamp")), told((one, "lamp"), ("other", "lamp"))):
+        with pytest.raises(TaxonomyError):
+            check_pilot_evidence(bad, s)
+
+
 def test_site(spark):
     head = '<meta content="A &amp; B"><link href="/base/x.css"><script src="../js/y.js"></script>'
     files = spark.createDataFrame([("index.html", head.replace("../", "")), ("entities.html", head.replace("../", "")), ("p/q.html", head), ("x.css", ""), ("js/y.js", "")], "path string, content string")
