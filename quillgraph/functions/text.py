@@ -13,6 +13,14 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 NUL = "\x00"
+#: What HTML turns into, in this order; links, assets and chapter numbers; file endings.
+HTML_RULES = ((r"(?i)<(br|/p|/div|/li|/h[1-6])\b[^>]*>", "\n"), (r"(?i)<li\b[^>]*>", "- "), (r"(?is)<script\b.*?</script>", ""), (r"(?is)<style\b.*?</style>", ""), (r"<[^>]+>", ""))
+WIKILINK = r"\[\[([^\]|#]+)(?:#[^\]|]+)?(?:\|[^\]]+)?\]\]"
+ASSET = r"""(?i)\b(?:href|src)=["']([^"'#?]+?\.(?:css|js))(?:[?#][^"']*)?["']"""
+CHAPTER = r"(?i)^chapter\s+(?:[ivxlcdm]+|\d+)[.:\s–—-]*"
+ENDINGS = (("epub", r"\.epub$"), ("markdown", r"\.(md|markdown)$"), ("text", r"\.(txt|text)$"))
+MIDDLE, ENDING = "[... middle sample ...]", "[... ending sample ...]"
+NONE_RECORDED = "- None recorded."
 _ASCII = r"^[\x00-\x7F]*$"
 #: White space as string trimming elsewhere defines it: Unicode's, and the byte-order mark.
 _EDGE = r"(?U)^[\s﻿]+|[\s﻿]+$"
@@ -94,7 +102,7 @@ def decode_xml(c: Column, numeric: bool = True) -> Column:
 
 def strip_html(c: Column, numeric: bool = True, unicode: bool = True) -> Column:
     """The text of HTML: blocks end lines, items begin with a dash, scripts and styles go."""
-    for pattern, put in ((r"(?i)<(br|/p|/div|/li|/h[1-6])\b[^>]*>", "\n"), (r"(?i)<li\b[^>]*>", "- "), (r"(?is)<script\b.*?</script>", ""), (r"(?is)<style\b.*?</style>", ""), (r"<[^>]+>", "")):
+    for pattern, put in HTML_RULES:
         c = F.regexp_replace(c, pattern, put)
     return comparable(decode_xml(c, numeric), unicode)
 
@@ -118,7 +126,7 @@ def inline(c: Column) -> Column:
 
 
 def chapter_label(ordinal: Column, title: Column) -> Column:
-    rest = trim(F.regexp_replace(title, r"(?i)^chapter\s+(?:[ivxlcdm]+|\d+)[.:\s–—-]*", ""))
+    rest = trim(F.regexp_replace(title, CHAPTER, ""))
     n = ordinal.cast("string")
     return F.when(rest != "", F.concat(F.lit("Chapter "), n, F.lit(": "), rest)).otherwise(F.concat(F.lit("Chapter "), n))
 
@@ -131,12 +139,12 @@ def truncate(c: Column, most: int) -> Column:
 def bullets(values: Column) -> Column:
     """Lines of a list, or one that says there is none."""
     lines = F.array_join(F.transform(values, lambda v: F.concat(F.lit("- "), v)), "\n")
-    return F.when(F.size(F.coalesce(values, F.array())) > 0, lines).otherwise("- None recorded.")
+    return F.when(F.size(F.coalesce(values, F.array())) > 0, lines).otherwise(NONE_RECORDED)
 
 
 def wikilinks(content: Column) -> Column:
     """Trimmed targets of [[target#part|label]]."""
-    return F.transform(F.regexp_extract_all(content, F.lit(r"\[\[([^\]|#]+)(?:#[^\]|]+)?(?:\|[^\]]+)?\]\]"), F.lit(1)), trim)
+    return F.transform(F.regexp_extract_all(content, F.lit(WIKILINK), F.lit(1)), trim)
 
 
 def chapter_path(ordinal: Column, title: Column) -> Column:
@@ -149,14 +157,14 @@ def passage_path(title: Column, passage_id: Column) -> Column:
 
 def asset_references(page: Column) -> Column:
     """Style sheets and scripts that a page refers to by a path of its own site."""
-    found = F.regexp_extract_all(page, F.lit(r"""(?i)\b(?:href|src)=["']([^"'#?]+?\.(?:css|js))(?:[?#][^"']*)?["']"""), F.lit(1))
+    found = F.regexp_extract_all(page, F.lit(ASSET), F.lit(1))
     return F.filter(found, lambda x: ~x.rlike(r"(?i)^(?:[a-z]+:)?//"))
 
 
 def detect_kind(path: Column) -> Column:
     low = F.lower(path)
-    kind = F.when(low.rlike(r"\.epub$"), "epub").when(low.rlike(r"\.(md|markdown)$"), "markdown").when(low.rlike(r"\.(txt|text)$"), "text")
-    return kind.otherwise(F.raise_error(F.concat(F.lit("Cannot infer the kind of source "), path)))
+    kind = F.coalesce(*[F.when(low.rlike(ending), name) for name, ending in ENDINGS])
+    return F.when(kind.isNotNull(), kind).otherwise(F.raise_error(F.concat(F.lit("Cannot infer the kind of source "), path)))
 
 
 def pilot_sample(text: Column, most: int = 12_000) -> Column:
@@ -164,7 +172,7 @@ def pilot_sample(text: Column, most: int = 12_000) -> Column:
     part = most // 3
     n = F.length(text)
     middle = F.floor((n - part) / 2).cast("int")
-    return F.when(n <= most, text).otherwise(F.concat_ws("\n\n", F.substring(text, 1, part), F.lit("[... middle sample ...]"), F.substring(text, middle + 1, F.lit(part)), F.lit("[... ending sample ...]"), F.right(text, F.lit(part))))
+    return F.when(n <= most, text).otherwise(F.concat_ws("\n\n", F.substring(text, 1, part), F.lit(MIDDLE), F.substring(text, middle + 1, F.lit(part)), F.lit(ENDING), F.right(text, F.lit(part))))
 
 
 # ---------------------------------------------------------------- the same for single values on the driver
@@ -180,10 +188,9 @@ def slug_value(v: str) -> str:
 
 
 def strip_html_value(v: str) -> str:
-    v = re.sub(r"(?i)<(br|/p|/div|/li|/h[1-6])\b[^>]*>", "\n", v)
-    v = re.sub(r"(?i)<li\b[^>]*>", "- ", v)
-    v = re.sub(r"(?is)<(script|style)\b.*?</\1>", "", v)
-    return comparable_value(decode_value(re.sub(r"<[^>]+>", "", v)))
+    for pattern, put in HTML_RULES:
+        v = re.sub(pattern, put, v)
+    return comparable_value(decode_value(v))
 
 
 def decode_value(v: str) -> str:

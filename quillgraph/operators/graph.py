@@ -12,6 +12,7 @@ from ..functions import text as X
 from . import identity as I
 from .collect import with_defaults
 
+#: The mark of literal objects and the reason that merges give.
 LITERAL = "literal:"
 REASON = "Unambiguous normalized name or alias match within the same category"
 
