@@ -8,9 +8,11 @@ links are confirmed on the full sets.
 
 Documents with equal sets form one class first. In each band's bucket every class is compared with the
 bucket's most central one; then only pairs whose classes are still in different components are compared,
-large buckets in blocks, so no pair inside a component is ever listed again. Pairs below MARGIN by
-likelihood are dropped: at 0.85 that is over six standard errors. A linked pair of similarity 0.85 meets
-in some band with probability 1 - 3e-7.
+so no pair inside a component is ever listed again. Buckets of more than SMALL classes, where all such
+pairs would be too many, are replaced by an exact filter: the shingles of their classes are ordered by how
+few classes have them, and two sets can only be linked if the first that they share leaves enough
+behind it in both. Pairs below MARGIN by likelihood are dropped: at 0.85 that is over six
+standard errors. A linked pair of similarity 0.85 meets in some band with probability 1 - 3e-7.
 
 Defined results: null and empty texts and those of white space only have no shingles and are their own
 component; texts under five words have their whole sequence as one shingle; ties go to the smaller
@@ -27,6 +29,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Words, keep, mix, slices, utf8
@@ -153,12 +156,8 @@ def _promising(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(run, "a long, b long")
 
 
-def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough.
-
-    The sets of b travel to those of a, at most GROUP together, so a class that many are compared with
-    is copied to as many tasks as it needs."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def _members(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, members): the full sets of the wanted nodes, made from their texts again."""
     texts = docs.select(F.xxhash64("doc_id", "text").alias("h"), "text").join(wanted.join(classes.select("node", "h"), "node"), "h").dropDuplicates(["node"]).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +167,15 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
                 values, own = sets(data[at[i] : at[j]], at[i : j + 1] - at[i])
                 yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array([values[a:b].tobytes() for a, b in zip(own[:-1], own[1:], strict=True)], pa.binary())], ["node", "members"])
 
-    held = keep(texts.mapInArrow(run, "node long, members binary"))
+    return keep(texts.mapInArrow(run, "node long, members binary"))
+
+
+def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough.
+
+    The sets of b travel to those of a, at most GROUP together, so a class that many are compared with
+    is copied to as many tasks as it needs."""
+    held = _members(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), classes, docs)
     groups = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("salts"))
     left = groups.join(held.withColumnRenamed("node", "a"), "a").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).select("a", "salt", F.lit(None).cast("long").alias("b"), "members")
     right = pairs.join(groups, "a").join(held.withColumnRenamed("node", "b"), "b").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), "b", "members")
@@ -194,37 +201,81 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     return dealt.select("a", "b", "members").mapInArrow(compare, "a long, b long")
 
 
-def _across(met: DataFrame, classes: DataFrame, labels: DataFrame, tried: DataFrame) -> DataFrame:
-    """Candidate pairs (a < b) that share a bucket but no component yet."""
-    labelled = met.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    open_keys = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("rows")).filter(F.col("x") != F.col("y")).select("key", "rows")
-    rows = labelled.drop("rows").join(open_keys, "key").select("key", "node", "label", "rows")
-    few = rows.filter(F.col("rows") <= SMALL).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("node", "label"))).alias("all"))
-    listed = F.flatten(F.transform("all", lambda x: F.transform(F.filter("all", lambda y: (y["node"] > x["node"]) & (y["label"] != x["label"])), lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b")))))
-    small = few.select(F.explode(listed).alias("p")).select("p.a", "p.b").distinct()
-    small = small.join(tried, ["a", "b"], "left_anti")
-
-    many = rows.filter(F.col("rows") > SMALL).join(classes.select("node", "n", "sketch"), "node")
+def _open(rows: DataFrame) -> DataFrame:
+    """rows (key, node, label, r, n) of keys that hold several components, with how many rows each has."""
+    keys = rows.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("rows"))
+    return rows.join(keys.filter(F.col("x") != F.col("y")).select("key", "rows"), "key").select("key", "node", "label", "r", "n", "rows")
+
+
+def _enough(n_a, r_a, n_b, r_b, least=min):
+    """Whether sets of n_a and n_b can be linked if the first that they share is the r-th of each."""
+    return (100 + PERCENT) * (1 + least(n_a - r_a, n_b - r_b)) >= PERCENT * (n_a + n_b)
+
+
+def _listed(rows: DataFrame) -> DataFrame:
+    """Pairs (a < b) of different components in keys of few rows."""
+    few = rows.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("node", "label", "r", "n"))).alias("all"))
+    good = lambda x, y: (y["node"] > x["node"]) & (y["label"] != x["label"]) & _enough(x["n"], x["r"], y["n"], y["r"], F.least)
+    listed = F.flatten(F.transform("all", lambda x: F.transform(F.filter("all", lambda y: good(x, y)), lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b")))))
+    return few.select(F.explode(listed).alias("p")).select("p.a", "p.b")
+
+
+def _blocked(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """The same for keys of many rows, in blocks of about BLOCK, and only pairs that are likely enough."""
+    many = rows.join(classes.select("node", "sketch"), "node")
     blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
     many = many.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    many = many.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "n", "sketch")
+    many = many.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "r", "n", "sketch")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
         x, y = pdf[pdf["own"] == i], pdf[pdf["own"] == j]
         found = []
         registers = np.frombuffer(b"".join(y["sketch"]), np.uint16).reshape(len(y), REGISTERS)
-        node, label, n = y["node"].to_numpy(), y["label"].to_numpy(), y["n"].to_numpy()
-        for a, own, size, sketch in zip(x["node"], x["label"], x["n"], x["sketch"], strict=True):
+        node, label, n, place = (y[c].to_numpy(np.int64) for c in ("node", "label", "n", "r"))
+        for a, own, size, at, sketch in zip(x["node"], x["label"], x["n"], x["r"], x["sketch"], strict=True):
             mine = np.frombuffer(sketch, np.uint16)
-            r = np.flatnonzero((label != own) & _sizes_allow(n, size) & ((node > a) if i == j else True))
+            r = np.flatnonzero((label != own) & _sizes_allow(n, size) & _enough(n, place, size, at, np.minimum) & ((node > a) if i == j else True))
             if len(r):
                 good = likely(np.full(len(r), size), n[r], (mine > registers[r]).sum(axis=1), (mine < registers[r]).sum(axis=1)) >= MARGIN
                 found.append((np.minimum(a, node[r][good]), np.maximum(a, node[r][good])))
         return pd.DataFrame({"a": np.concatenate([f[0] for f in found] or [np.zeros(0, np.int64)]), "b": np.concatenate([f[1] for f in found] or [np.zeros(0, np.int64)])})
 
-    large = many.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
-    return _promising(small, classes).unionByName(large)
+    return many.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")
+
+
+def _rarest(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(key, node, label, r, n): of each node the rarest shingles, one of which a linked set must share, as keys, and their places.
+
+    Of n shingles a linked set shares at least PERCENT % of n, so it shares one of the n less that, plus
+    one, that come first in any one order. Those that no other node has are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 64):
+                held = batch.column(1)[i : i + 64].to_pylist()
+                node = np.repeat(np.asarray(batch.column(0)[i : i + 64], np.int64), [len(x) // 8 for x in held])
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(np.frombuffer(b"".join(held), np.int64))], ["node", "key"])
+
+    tokens = keep(_members(nodes.select("node"), classes, docs).mapInArrow(run, "node long, key long"))
+    common = tokens.groupBy("key").agg(F.count(F.lit(1)).alias("df"))
+    ranked = tokens.join(common, "key").withColumn("r", F.row_number().over(W.partitionBy("node").orderBy("df", "key")))
+    reach = classes.select("node", "n", (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1).alias("reach"))
+    return ranked.filter(F.col("df") > 1).join(reach, "node").filter(F.col("r") <= F.col("reach")).join(nodes, "node").select("key", "node", "label", "r", "n")
+
+
+def _across(met: DataFrame, classes: DataFrame, labels: DataFrame, tried: DataFrame, docs: DataFrame) -> DataFrame:
+    """Candidate pairs (a < b) that share a bucket but no component yet."""
+    labelled = met.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"), F.lit(1).alias("r"), F.lit(0).cast("long").alias("n"))
+    rows = keep(_open(labelled))
+    small = _listed(rows.filter(F.col("rows") <= SMALL))
+    nodes = keep(rows.filter(F.col("rows") > SMALL).select("node", "label").distinct())
+    if not nodes.isEmpty():
+        rare = keep(_open(_rarest(nodes, classes, docs)))
+        small = small.unionByName(_listed(rare.filter(F.col("rows") <= SMALL)))
+        large = _blocked(rare.filter(F.col("rows") > SMALL), classes).distinct().join(tried, ["a", "b"], "left_anti")
+    small = _promising(small.distinct().join(tried, ["a", "b"], "left_anti"), classes)
+    return small if nodes.isEmpty() else small.unionByName(large).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -243,7 +294,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     star = keep(_promising(star, classes))
     first = keep(_linked(star, classes, docs))
     tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = keep(_across(met, classes, components(first), tried))
+    rest = keep(_across(met, classes, components(first), tried, docs))
     links = first if rest.isEmpty() else first.unionByName(_linked(rest, classes, docs))
     labels = components(links)
     # a component's name is its smallest doc_id; classes without one have none to give
