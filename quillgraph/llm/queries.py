@@ -107,5 +107,21 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT doc_id, min(r)
 """
 
 
+def _op7() -> str:
+    """The spans of every rule by splitting at its matches and summing lengths."""
+    q = lambda v: "'" + v.replace("'", "''") + "'"
+    parts = []
+    for k, r in enumerate(secrets.RULES):
+        before = "list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0)"
+        each = f"unnest(list_transform(range(1, len(m) + 1), lambda i: {{'s': CAST({before} AS BIGINT), 'l': length(m[i]), 'n': length(g[i])}}))"
+        found = f"SELECT doc_id, string_split_regex(text, {q(r.pattern)}) AS p, regexp_extract_all(text, {q(r.pattern)}, 0) AS m, regexp_extract_all(text, {q(r.pattern)}, {r.group}) AS g FROM t WHERE regexp_matches(text, {q(r.pattern)})"
+        parts.append(f"SELECT doc_id, {k} AS k, x.s AS s, '{r.kind}:' || x.s || ':' || (x.s + x.l) AS v FROM (SELECT doc_id, {each} AS x FROM ({found})) WHERE x.n >= {r.least}")
+    count = lambda k, name: f"count(*) FILTER (WHERE k = {k}) AS n_{name}"
+    return f"""WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), spans AS ({' UNION ALL '.join(parts)})
+SELECT t.doc_id, {count(0, 'assign')}, {count(1, 'access')}, {count(2, 'hex')},
+    sha256(coalesce(string_agg(v, ',' ORDER BY s, k) FILTER (WHERE k < {len(secrets.BASE_RULES)}), '')) AS base_sha256, coalesce(string_agg(v, ',' ORDER BY s, k), '') AS spans
+FROM t LEFT JOIN spans ON t.doc_id = spans.doc_id GROUP BY t.doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_top_k": _OP9, "op10_setsketch_neardup": _OP10}
+    return {"op7_secret_scan": _op7(), "op9_top_k": _OP9, "op10_setsketch_neardup": _OP10}
