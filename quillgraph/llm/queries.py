@@ -107,6 +107,28 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT doc_id, min(r)
 """
 
 
+_OP4 = """
+WITH b AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), windows AS (
+    SELECT doc_id, i, hash(substr(x, 2 * i - 1, 800)) AS k FROM (SELECT doc_id, x, unnest(range(1, length(x) // 2 - 398)) AS i FROM b WHERE length(x) >= 800)
+), again AS (
+    SELECT doc_id, i FROM windows JOIN (SELECT k FROM windows GROUP BY k HAVING count(*) > 1) USING (k)
+), marked AS (
+    SELECT doc_id, i, sum(CASE WHEN i - before <= 400 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run
+    FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM again)
+), runs AS (
+    SELECT doc_id, min(i) AS low, max(i) + 399 AS high, coalesce(lag(max(i) + 399) OVER (PARTITION BY doc_id ORDER BY min(i)), 0) AS last FROM marked GROUP BY doc_id, run
+), cut AS (
+    SELECT doc_id, sum(high - low + 1) AS n_removed, count(*) AS n_spans, max(high) AS tail, string_agg(substr(x, 2 * last + 1, 2 * (low - last - 1)), '' ORDER BY low) AS kept
+    FROM runs JOIN b USING (doc_id) GROUP BY doc_id
+)
+SELECT b.doc_id, length(x) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+FROM b LEFT JOIN cut USING (doc_id)
+"""
+
+
 def _op7() -> str:
     """The spans of every rule by splitting at its matches and summing lengths."""
     q = lambda v: "'" + v.replace("'", "''") + "'"
@@ -124,4 +146,4 @@ FROM t LEFT JOIN spans ON t.doc_id = spans.doc_id GROUP BY t.doc_id"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_secret_scan": _op7(), "op9_top_k": _OP9, "op10_setsketch_neardup": _OP10}
+    return {"op4_suffix_dedup": _OP4, "op7_secret_scan": _op7(), "op9_top_k": _OP9, "op10_setsketch_neardup": _OP10}
