@@ -33,7 +33,7 @@ SAMPLE, GRAMS, LANGUAGES = 1500, 30_000, 256
 RATIO = 0.3
 SLOT_BITS, HASHES, SIZE = 20, 3, 4
 UNKNOWN = "und"
-_CHUNK = 4 << 20
+_CHUNK = 1 << 20
 
 #: Lower-case letters and everything beyond ASCII stay, all else is a space.
 _FOLD = np.full(256, 32, np.uint8)
