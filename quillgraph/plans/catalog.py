@@ -107,7 +107,7 @@ def broken_links(spark, sf_dir):
 _SLUG = "trim(regexp_replace(regexp_replace(lower(strip_accents({0})), '[''’]', '', 'g'), '[^a-z0-9]+', '-', 'g'), '-')"
 
 
-@query(f"SELECT kind, name, CASE WHEN s = '' THEN 'untitled' ELSE s END AS slug FROM (SELECT kind, name, {_SLUG.format('name')} AS s FROM (SELECT DISTINCT 'part' AS kind, p_name AS name FROM part UNION ALL SELECT 'nation', n_name FROM nation UNION ALL SELECT 'word', w FROM (SELECT DISTINCT unnest(string_split(regexp_replace(text, '\s+', ' ', 'g'), ' ')) AS w FROM documents)))")
+@query(f"SELECT kind, name, CASE WHEN s = '' THEN 'untitled' ELSE s END AS slug FROM (SELECT kind, name, {_SLUG.format('name')} AS s FROM (SELECT DISTINCT 'part' AS kind, p_name AS name FROM part UNION ALL SELECT 'nation', n_name FROM nation UNION ALL SELECT 'word', w FROM (SELECT DISTINCT unnest(string_split(regexp_replace(text, '\\s+', ' ', 'g'), ' ')) AS w FROM documents)))")
 def slugs(spark, sf_dir):
     names = table(spark, sf_dir, "part").select(F.lit("part").alias("kind"), F.col("p_name").alias("name")).distinct()
     names = names.unionByName(table(spark, sf_dir, "nation").select(F.lit("nation").alias("kind"), F.col("n_name").alias("name")))
