@@ -8,8 +8,11 @@ property of the context and is computed once. A text's score is the log10 probab
 bytes and one end symbol. A unigram score over words comes beside it; the frequent words' counts are
 broadcast, at most HEAVY of them, and all others are joined.
 
-The trie keeps the n-grams of at least the count under which no order has more than MOST_GRAMS; it stays
-closed under suffixes. Counts of words and n-grams cover all training rows.
+Counts of words and n-grams cover all training rows and none is left out. The n-grams are a table; contexts
+that end in the same two bytes need only each other and the orders 0 and 1, which the alphabet bounds, so
+the trie is built in shards by these two bytes, each of which scores its n-grams. The scores of the most
+frequent n-grams are broadcast, at most MOST_GRAMS of them, and all others are joined. Scores add up as
+whole parts of UNIT.
 
 Defined results: null and empty texts hold only the end symbol; without training rows every byte is
 equally likely and the base score is 0; repeated rows get equal scores; other columns are ignored.
@@ -23,6 +26,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +35,9 @@ from .common import LOWER, keep, slices, utf8
 
 ORDER, DISCOUNT = 5, 0.3
 MOST_GRAMS, HEAVY = 1 << 19, 1 << 17
+UNIT = 1 << 28
 BEFORE, END, SYMBOLS = 0xFE, 0xFF, 256  # neither occurs in UTF-8
-_CHUNK, _FLUSH = 2 << 20, 400_000
+_CHUNK, _FLUSH, _STEP = 2 << 20, 400_000, 1 << 19
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -53,34 +58,43 @@ def _low(x: np.ndarray, symbols: int) -> np.ndarray:
     return x & np.uint64((1 << (8 * symbols)) - 1)
 
 
+def _summed(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct keys in order, and the sums of their counts."""
+    if not len(keys):
+        return keys, *counts
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] ^ np.uint64(1)))
+    return keys[first], *(np.add.reduceat(n[order], first) for n in counts)
+
+
 def gram_counts(texts: DataFrame) -> DataFrame:
-    """(gram, n) of the longest n-grams; a row for each task and n-gram before the shuffle."""
+    """(gram, n, held) of the longest n-grams of texts (text, learn): how often they occur in texts to learn
+    from and in others; a row for each task and n-gram before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        seen: list[tuple[np.ndarray, ...]] = []
 
         def merged():
-            keys = np.concatenate([k for k, _ in held])
-            order = np.argsort(keys, kind="stable")
-            keys, n = keys[order], np.concatenate([n for _, n in held])[order]
-            first = np.flatnonzero(np.diff(keys, prepend=keys[:1] ^ np.uint64(1)))
-            return keys[first], np.add.reduceat(n, first)
+            return _summed(*(np.concatenate(x) for x in zip(*seen, strict=True)))
 
-        def rows(keys, n):
-            return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))], ["gram", "n"])
+        def rows(keys, n, held):
+            return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64)), pa.array(held.astype(np.int64))], ["gram", "n", "held"])
 
         for batch in batches:
-            data, at = utf8(batch.column(0))
-            for i, j in slices(at, _CHUNK):
-                held.append(np.unique(grams(data[at[i] : at[j]], at[i : j + 1] - at[i]), return_counts=True))
-                if sum(len(k) for k, _ in held) > 4_000_000:
-                    held[:] = [merged()]
-                    if len(held[0][0]) > 2_000_000:
-                        yield rows(*held.pop())
-        if held:
+            for learn in (True, False):
+                data, at = utf8(batch.column(0).filter(pc.equal(batch.column(1), learn)))
+                for i, j in slices(at, _CHUNK):
+                    keys, n = np.unique(grams(data[at[i] : at[j]], at[i : j + 1] - at[i]), return_counts=True)
+                    seen.append((keys, n, np.zeros_like(n)) if learn else (keys, np.zeros_like(n), n))
+                    if sum(len(x[0]) for x in seen) > 4_000_000:
+                        seen[:] = [merged()]
+                        if len(seen[0][0]) > 2_000_000:
+                            yield rows(*seen.pop())
+        if seen:
             yield rows(*merged())
 
-    return texts.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return texts.select("text", "learn").mapInArrow(run, "gram long, n long, held long").groupBy("gram").agg(F.sum("n").alias("n"), F.sum("held").alias("held"))
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -128,7 +142,7 @@ def least_count(counts: DataFrame, most: int) -> int:
 
 
 class Trie:
-    """The contexts of each order as sorted arrays, and a hash table of the longest n-grams' log probabilities."""
+    """The contexts of each order as sorted arrays."""
 
     def __init__(self, keys: list[np.ndarray], counts: list[np.ndarray]):
         counts = [c - DISCOUNT for c in counts]
@@ -158,28 +172,6 @@ class Trie:
             kinds.append(kind)
             totals.append(total)
         self.floor = -np.log(SYMBOLS - (kinds[0][0] / DISCOUNT if len(kinds[0]) else 0))
-        self._table()
-
-    def _table(self) -> None:
-        top, values = self.keys[ORDER], self.predict(self.keys[ORDER])
-        self.bits = max(10, (2 * len(top)).bit_length())
-        self.table = np.full(1 << self.bits, np.uint64(2**64 - 1))
-        self.value = np.zeros(1 << self.bits, np.float32)
-        rest, self.probes = np.arange(len(top)), 0
-        while len(rest):
-            at = self._slot(top[rest], self.probes)
-            free = self.table[at] == np.uint64(2**64 - 1)
-            self.table[at[free]] = top[rest[free]]
-            placed = self.table[at] == top[rest]
-            self.value[at[placed]] = values[rest[placed]]
-            rest = rest[~placed]
-            self.probes += 1
-
-    def _slot(self, key: np.ndarray, probe: int) -> np.ndarray:
-        h = key * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(31)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-        return ((h >> np.uint64(64 - self.bits)).astype(np.int64) + probe) & ((1 << self.bits) - 1)
 
     def predict(self, grams: np.ndarray) -> np.ndarray:
         """Natural log probability of each n-gram's last symbol after the others."""
@@ -204,59 +196,134 @@ class Trie:
         out[~done] += self.floor
         return out
 
-    def score(self, grams: np.ndarray) -> np.ndarray:
-        """predict(), by the hash table where the whole n-gram is known."""
-        out = np.full(len(grams), np.nan)
+
+class Table:
+    """A hash table of n-grams' log probabilities in parts of UNIT."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(10, (2 * len(keys)).bit_length())
+        self.table = np.full(1 << self.bits, np.uint64(2**64 - 1))
+        self.value = np.zeros(1 << self.bits, np.int64)
+        rest, self.probes = np.arange(len(keys)), 0
+        while len(rest):
+            at = self._slot(keys[rest], self.probes)
+            free = self.table[at] == np.uint64(2**64 - 1)
+            self.table[at[free]] = keys[rest[free]]
+            placed = self.table[at] == keys[rest]
+            self.value[at[placed]] = values[rest[placed]]
+            rest = rest[~placed]
+            self.probes += 1
+
+    def _slot(self, key: np.ndarray, probe: int) -> np.ndarray:
+        h = key * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(31)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        return ((h >> np.uint64(64 - self.bits)).astype(np.int64) + probe) & ((1 << self.bits) - 1)
+
+    def find(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each n-gram's value, 0 if it has none, and the places of those that have none."""
+        out, missing = np.zeros(len(grams), np.int64), np.ones(len(grams), bool)
         rest = np.arange(len(grams))
         for probe in range(self.probes):
             at = self._slot(grams[rest], probe)
             found = self.table[at]
             hit = found == grams[rest]
             out[rest[hit]] = self.value[at[hit]]
+            missing[rest[hit]] = False
             rest = rest[~hit & (found != np.uint64(2**64 - 1))]
             if not len(rest):
                 break
-        missing = np.flatnonzero(np.isnan(out))
-        key, back = np.unique(grams[missing], return_inverse=True)
-        out[missing] = self.predict(key)[back]
-        return out
+        return out, np.flatnonzero(missing)
 
 
 def fit_trie(texts: DataFrame, most: int = MOST_GRAMS) -> Trie:
-    longest = keep(gram_counts(texts))
+    """A trie small enough for one machine: of the n-grams of at least the count under which no order has more
+    than most. score() needs no such bound and does not use it."""
+    longest = keep(gram_counts(texts.select("text", F.lit(True).alias("learn"))).select("gram", "n"))
     orders = [longest.groupBy(F.col("gram").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("gram")).agg(F.sum("n").alias("n")) for k in range(ORDER)] + [longest]
     least = max(least_count(o, most) for o in orders)
     keys, counts = [], []
     for o in orders:
         kept = o.filter(F.col("n") >= least).toArrow()  # at most `most` rows
-        gram, n = np.asarray(kept.column("gram"), np.int64).astype(np.uint64), np.asarray(kept.column("n"), np.int64)
-        order = np.argsort(gram)
-        keys.append(gram[order])
-        counts.append(n[order])
+        gram, n = _summed(np.asarray(kept.column("gram"), np.int64).astype(np.uint64), np.asarray(kept.column("n"), np.int64))
+        keys.append(gram)
+        counts.append(n)
     return Trie(keys, counts)
 
 
+def gram_logs(counts: DataFrame) -> DataFrame:
+    """(gram, n, log) of every row of counts (gram, n, held): all occurrences, and the log probability in the
+    trie of all n-grams that occur in texts to learn from."""
+    low = counts.filter(F.col("n") > 0).groupBy(F.col("gram").bitwiseAND(0xFFFF).alias("gram")).agg(F.sum("n").alias("n")).toArrow()  # at most SYMBOLS ** 2 rows
+    first = _summed(np.asarray(low.column("gram"), np.int64).astype(np.uint64), np.asarray(low.column("n"), np.int64))
+    sent = counts.sparkSession.sparkContext.broadcast([_summed(_low(first[0], 1), first[1]), first])
+
+    def rows(gram, n, held):
+        known = n > 0
+        longest = _summed(gram[known], n[known])
+        orders = sent.value + [_summed(_low(longest[0], k + 1), longest[1]) for k in range(2, ORDER)] + [longest]
+        log = Trie([k for k, _ in orders], [c for _, c in orders]).predict(gram)
+        return pa.RecordBatch.from_arrays([pa.array(gram.astype(np.int64)), pa.array(n + held), pa.array(np.rint(log * UNIT).astype(np.int64))], ["gram", "n", "log"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size, limit = [], 0, _STEP
+        for batch in batches:
+            gram, n, held = (np.asarray(batch.column(k), np.int64) for k in range(3))
+            parts.append((gram.astype(np.uint64), n, held))
+            size += len(gram)
+            if size >= limit:
+                whole = tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+                shard = _low(whole[0] >> np.uint64(8), 2)
+                cut = int(np.searchsorted(shard, shard[-1]))  # the last shard may go on
+                if cut:
+                    yield rows(*(x[:cut] for x in whole))
+                parts, size = [tuple(x[cut:] for x in whole)], size - cut
+                limit = max(_STEP, 2 * size)
+        if size:
+            yield rows(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+
+    shard = F.shiftright("gram", 8).bitwiseAND(0xFFFF)
+    dealt = counts.withColumn("shard", shard).repartition("shard").sortWithinPartitions("shard")
+    return dealt.select("gram", "n", "held").mapInArrow(run, "gram long, n long, log long")
+
+
 def score(docs: DataFrame, training) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score); training: a condition on doc_id."""
     learn = docs.filter(training).select("text")
-    trie = fit_trie(learn)
+    logs = keep(gram_logs(keep(gram_counts(docs.select("text", F.coalesce(training, F.lit(False)).alias("learn"))))))
+    least_gram = least_count(logs, MOST_GRAMS)
+    often = logs.filter(F.col("n") >= least_gram).toArrow()  # at most MOST_GRAMS rows
+    scores = Table(np.asarray(often.column("gram"), np.int64).astype(np.uint64), np.asarray(often.column("log"), np.int64))
     words = keep(word_counts(learn))
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     below = total + 0.1 * (distinct + 1)
     least = least_count(words, HEAVY)
     heavy = words.filter(F.col("n") >= least).toArrow()  # at most HEAVY rows
     known = dict(zip(heavy.column("token").to_pylist(), np.log10((np.asarray(heavy.column("n"), np.int64) + 0.1) / below).tolist(), strict=True))
-    sent = docs.sparkSession.sparkContext.broadcast((trie, known))
+    sent = docs.sparkSession.sparkContext.broadcast((scores, known))
+
+    kinds = {"row": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_rare": pa.int64(), "base": pa.float64(), "score": pa.int64(), "token": pa.binary(), "gram": pa.int64(), "n": pa.int64()}
+
+    def rows(count, /, **columns):
+        return pa.RecordBatch.from_arrays([columns[k] if k in columns else pa.nulls(count, t) for k, t in kinds.items()], list(kinds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, known = sent.value
+        scores, known = sent.value
         get = known.get
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             data, at = utf8(batch.column(1))
             for i, j in slices(at, _CHUNK):
                 part, own = data[at[i] : at[j]], at[i : j + 1] - at[i]
-                logs = np.add.reduceat(trie.score(grams(part, own)), own[:-1] + np.arange(j - i)) / np.log(10)
+                symbols = grams(part, own)
+                value, other = scores.find(symbols)
+                logs = np.add.reduceat(value, own[:-1] + np.arange(j - i))
+                # one row for each text and n-gram
+                other_row, other = row + np.repeat(np.arange(j - i), np.diff(own) + 1)[other], symbols[other]
+                order = np.lexsort((other, other_row))
+                other_row, other = other_row[order], other[order]
+                first = np.flatnonzero((np.diff(other_row, prepend=-1) != 0) | (np.diff(other, prepend=np.uint64(0)) != 0))
+                other_n = np.diff(np.append(first, len(other)))
                 low = LOWER[part].tobytes()
                 n_tokens, n_rare, base, rare_row, rare_token, rare_n = [], [], [], [], [], []
                 for d, (a, b) in enumerate(zip(own[:-1].tolist(), own[1:].tolist(), strict=True)):
@@ -272,25 +339,28 @@ def score(docs: DataFrame, training) -> DataFrame:
                         rare_row += [row + d] * len(few)
                         rare_token += few
                         rare_n += few.values()
-                rows = np.arange(row, row + j - i)
+                rows_of = np.arange(row, row + j - i)
                 row += j - i
-                null = lambda t, n: pa.nulls(n, t)
-                yield pa.RecordBatch.from_arrays([pa.array(rows), batch.column(0)[i:j].cast(pa.int64()), batch.column(2)[i:j], pa.array(n_tokens, pa.int64()), pa.array(n_rare, pa.int64()), pa.array(base, pa.float64()), pa.array(logs), null(pa.binary(), j - i), null(pa.int64(), j - i)], names)
-                m = len(rare_row)
-                if m:
-                    yield pa.RecordBatch.from_arrays([pa.array(rare_row, pa.int64()), null(pa.int64(), m), null(pa.bool_(), m), null(pa.int64(), m), null(pa.int64(), m), null(pa.float64(), m), null(pa.float64(), m), pa.array(rare_token, pa.binary()), pa.array(rare_n, pa.int64())], names)
-
-    names = ["row", "doc_id", "held_out", "n_tokens", "n_rare", "base", "score", "token", "n"]
-    schema = "row long, doc_id long, held_out boolean, n_tokens long, n_rare long, base double, score double, token binary, n long"
+                yield rows(j - i, row=pa.array(rows_of), doc_id=batch.column(0)[i:j].cast(pa.int64()), held_out=batch.column(2)[i:j], n_tokens=pa.array(n_tokens, pa.int64()), n_rare=pa.array(n_rare, pa.int64()), base=pa.array(base, pa.float64()), score=pa.array(logs))
+                if rare_row:
+                    yield rows(len(rare_row), row=pa.array(rare_row, pa.int64()), token=pa.array(rare_token, pa.binary()), n=pa.array(rare_n, pa.int64()))
+                if len(first):
+                    yield rows(len(first), row=pa.array(other_row[first]), gram=pa.array(other[first].astype(np.int64)), n=pa.array(other_n))
+
+    schema = "row long, doc_id long, held_out boolean, n_tokens long, n_rare long, base double, score long, token binary, gram long, n long"
     marked = docs.select("doc_id", "text", F.coalesce(~training, F.lit(True)).alias("held_out"))
     both = keep(marked.mapInArrow(run, schema))  # written, so that the row numbers stay as they are
     rare = both.filter(F.col("token").isNotNull()).select("row", "token", "n")
     light = words.filter(F.col("n") < least).select("token", F.log10((F.col("n") + 0.1) / F.lit(below)).alias("log"))
-    found = rare.join(light, "token").groupBy("row").agg(F.sum("n").alias("found"), F.sum(F.col("n") * F.col("log")).alias("more"))
-    out = both.filter(F.col("n_tokens").isNotNull()).drop("token", "n").join(found, "row", "left")
+    other = both.filter(F.col("gram").isNotNull()).select("row", "gram", "n")
+    by_word = rare.join(light, "token").select("row", F.col("n").alias("found"), (F.col("n") * F.col("log")).alias("more"), F.lit(0).cast("long").alias("parts"))
+    by_gram = other.join(logs.filter(F.col("n") < least_gram).select("gram", "log"), "gram").select("row", F.lit(0).cast("long").alias("found"), F.lit(0.0).alias("more"), (F.col("n") * F.col("log")).alias("parts"))
+    found = by_word.unionByName(by_gram).groupBy("row").agg(F.sum("found").alias("found"), F.sum("more").alias("more"), F.sum("parts").alias("parts"))
+    out = both.filter(F.col("n_tokens").isNotNull()).drop("token", "gram", "n").join(found, "row", "left")
     seen = F.coalesce("found", F.lit(0))
     unseen = F.col("n_rare") - seen
     return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_tokens") - unseen).cast("long").alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0)) + unseen * F.lit(float(np.log10(0.1 / below)))).alias("base_score"), "score",
+        (F.col("base") + F.coalesce("more", F.lit(0.0)) + unseen * F.lit(float(np.log10(0.1 / below)))).alias("base_score"),
+        ((F.col("score") + F.coalesce("parts", F.lit(0))) / F.lit(float(UNIT * np.log(10)))).alias("score"),
     )

@@ -96,6 +96,25 @@ def test_without_training(corpus):
     assert rows[0].base_score == 0 and abs(rows[0].score + 4 * math.log10(256)) < 1e-6 and rows[0].train_tokens == 0
 
 
+def test_rare_grams_count(corpus, texts, monkeypatch):
+    """With few n-grams broadcast and small shards every n-gram still has its own count."""
+    monkeypatch.setattr(ppm, "MOST_GRAMS", 50)
+    if ppm.fit_trie.__defaults__:
+        monkeypatch.setattr(ppm.fit_trie, "__defaults__", (50,))
+    monkeypatch.setattr(ppm, "_STEP", 40, raising=False)
+    held = lambda d: d is not None and d % 4 == 0
+    framed = lambda t: b"\xfe" * ppm.ORDER + (t or "").encode().lower() + b"\xff"
+    log10 = brute([framed(t) for d, t in texts if not held(d)], ppm.ORDER, ppm.DISCOUNT)
+    got, expected = defaultdict(list), defaultdict(list)
+    for r in ppm.score(corpus, F.coalesce(F.col("doc_id") % 4 != 0, F.lit(True))).collect():
+        got[r.doc_id].append(r.score)
+    for d, t in texts:
+        expected[d].append(log10(framed(t)))
+    assert got.keys() == expected.keys()
+    for d in got:
+        assert np.allclose(sorted(got[d]), sorted(expected[d]), rtol=1e-5, atol=1e-5), d
+
+
 def test_pruning_keeps_suffixes(corpus):
     trie = ppm.fit_trie(corpus.select("text"), most=200)
     assert all(len(k) <= 200 for k in trie.keys)
