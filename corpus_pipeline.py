@@ -14,6 +14,8 @@ from quillgraph.llm.common import keep, table
 
 #: Documents of which a smaller share of n-grams belongs to the best language are rejected.
 LEAST_SCORE = 0.25
+#: Documents of this similarity of their five-word shingles, in percent, or more are near duplicates.
+NEAR_PERCENT = 80
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +26,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that with the smallest id."""
-    found = neardup.near_duplicates(docs)
+    found = neardup.near_duplicates(docs, NEAR_PERCENT)
     stay = found.filter("kept").groupBy(F.coalesce("component_id", "h").alias("g")).agg(F.min("h").alias("__h"))
     stay = keep(stay.select("__h").distinct())
     again = found.groupBy("h").agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > 1).withColumnRenamed("h", "__h")

@@ -62,7 +62,7 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_setsketch_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), 85).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -77,6 +77,26 @@ def test_sketches_merge_and_estimate():
         assert abs(estimate - n / (2000 - n)) < 0.13
 
 
+def test_pipeline_links_at_080(spark):
+    """Pairs of similarities from 0.80 to 0.85 lose one document in the stage; op 10 keeps both."""
+    import corpus_pipeline
+
+    rng, rows = random.Random(12), []
+    for k in range(30):
+        w = [f"w{k}x{rng.randrange(10**6)}" for _ in range(104)]
+        # two changed words far apart: of 100 shingles 90 stay, 90 of 110 together
+        for changed in (0, 2):
+            v = list(w)
+            for c in range(changed):
+                v[20 + 30 * c] = f"e{k}x{c}"
+            rows.append((2 * k + changed // 2, " ".join(v)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    a, b = shingles(rows[0][1]), shingles(rows[1][1])
+    assert 80 * len(a | b) <= 100 * len(a & b) < 85 * len(a | b)
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == list(range(0, 60, 2))
+    assert neardup.near_duplicates(docs).filter("kept").count() == 60
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 101), (7, None)], "a long, b long")
     got = dict(tuple(r) for r in graph.components(edges).collect())
