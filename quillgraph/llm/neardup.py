@@ -17,7 +17,7 @@ of just that similarity meets in some band with a probability of at least 1 - MI
 
 Defined results: null and empty texts and those of white space only have no shingles and are their own
 component; texts under five words have their whole sequence as one shingle; ties go to the smaller
-doc_id; rows that repeat a doc_id form one class if their sets are equal; without a doc_id a row is kept
+doc_id; rows that repeat a doc_id form one class only if their sets are equal; without a doc_id a row is kept
 only if its class and component have none; other columns are ignored or pass through.
 """
 
@@ -313,14 +313,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     level = Level.of(percent)
     rows = keep(described(docs, level.registers))
     classes = rows.filter(F.col("n") > 0).groupBy("low", "high").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h")).alias("first"), F.min("n").alias("n"), F.min_by("sketch", "h").alias("sketch"))
-    classes = keep(classes.select(F.coalesce("first.doc_id", "first.h").alias("node"), F.col("first.h").alias("h"), F.col("first.doc_id").isNull().alias("anonymous"), "low", "high", "n", "sketch"))
+    classes = keep(classes.select(F.col("first.h").alias("node"), F.col("first.h").alias("h"), "first.doc_id", "low", "high", "n", "sketch"))
     banded = bands(classes, level.bands)
     met = banded.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
     met = keep(banded.join(met, "key"))
     # the class that shares most buckets is the centre of each that it is in
     weight = met.groupBy("node").agg(F.sum("rows").alias("weight"))
     weighed = met.join(weight, "node")
-    centre = weighed.groupBy("key").agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("top")).select("key", (-F.col("top.minus")).alias("centre"))
+    centre = weighed.groupBy("key").agg(F.max(F.struct("weight", F.bitwise_not("node").alias("minus"))).alias("top")).select("key", F.bitwise_not("top.minus").alias("centre"))
     star = met.join(centre, "key").filter(F.col("node") != F.col("centre")).select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     star = keep(_promising(star, classes, level))
     first = keep(_linked(star, classes, docs, percent))
@@ -328,9 +328,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rest = keep(_across(met, classes, components(first), tried, docs, level))
     links = first if rest.isEmpty() else first.unionByName(_linked(rest, classes, docs, percent))
     labels = components(links)
-    # a component's name is its smallest doc_id; classes without one have none to give
-    named = classes.select("low", "high", "node", "anonymous").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    names = named.groupBy("label").agg(F.min(F.when(~F.col("anonymous"), F.col("node"))).alias("component_id"))
+    # classes are named by a key of their text, as a doc_id can have several; a component's name is its smallest doc_id; classes without one have none to give
+    named = classes.select("low", "high", "node", "doc_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    names = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     named = named.join(names, "label").select("low", "high", "component_id")
     out = rows.drop("sketch").join(named, ["low", "high"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))

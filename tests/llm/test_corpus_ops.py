@@ -97,6 +97,18 @@ def test_pipeline_links_at_080(spark):
     assert neardup.near_duplicates(docs).filter("kept").count() == 60
 
 
+def test_one_id_with_two_texts(spark):
+    """Each text of a repeated doc_id is linked by its own set."""
+    rng, rows = random.Random(13), []
+    for k in range(20):
+        for _ in range(2):
+            w = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+            rows += [(4 * k, " ".join(w)), (4 * k + 1 + len(rows) % 4 // 2, " ".join([*w[:-1], "other"]))]
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == Counter(linked_components(rows))
+    assert {c for _, _, c in got} == set(range(0, 80, 4))
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 101), (7, None)], "a long, b long")
     got = dict(tuple(r) for r in graph.components(edges).collect())
