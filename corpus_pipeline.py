@@ -25,9 +25,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest id."""
+    """One document of each group of near duplicates: that with the smallest id, or any if none has one."""
     found = neardup.near_duplicates(docs, NEAR_PERCENT)
-    stay = found.filter("kept").groupBy(F.coalesce("component_id", "h").alias("g")).agg(F.min("h").alias("__h"))
+    stay = found.filter("kept").groupBy(F.coalesce("label", "h").alias("g")).agg(F.min("h").alias("__h"))
     stay = keep(stay.select("__h").distinct())
     again = found.groupBy("h").agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > 1).withColumnRenamed("h", "__h")
     rows = docs.withColumn("__h", F.xxhash64("doc_id", "text")).join(stay.join(again, "__h", "left"), "__h")

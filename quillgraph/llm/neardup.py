@@ -308,8 +308,9 @@ def _across(met: DataFrame, classes: DataFrame, labels: DataFrame, tried: DataFr
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, h, n_shingles, component_id, kept) for every row of docs (doc_id, text); sets of a similarity
-    of percent or more are linked."""
+    """(doc_id, h, n_shingles, component_id, label, kept) for every row of docs (doc_id, text); sets of a
+    similarity of percent or more are linked. label tells components apart, also those without a doc_id or with
+    the same one; rows without shingles have none."""
     level = Level.of(percent)
     rows = keep(described(docs, level.registers))
     classes = rows.filter(F.col("n") > 0).groupBy("low", "high").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h")).alias("first"), F.min("n").alias("n"), F.min_by("sketch", "h").alias("sketch"))
@@ -331,8 +332,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # classes are named by a key of their text, as a doc_id can have several; a component's name is its smallest doc_id; classes without one have none to give
     named = classes.select("low", "high", "node", "doc_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     names = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(names, "label").select("low", "high", "component_id")
+    named = named.join(names, "label").select("low", "high", "component_id", "label")
     out = rows.drop("sketch").join(named, ["low", "high"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    out = out.select("doc_id", "h", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    out = out.select("doc_id", "h", F.col("n").alias("n_shingles"), component.alias("component_id"), F.when(F.col("n") > 0, F.col("label")).alias("label"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

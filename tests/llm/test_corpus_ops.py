@@ -97,6 +97,23 @@ def test_pipeline_links_at_080(spark):
     assert neardup.near_duplicates(docs).filter("kept").count() == 60
 
 
+def test_pipeline_keeps_one_of_a_group_without_ids(spark):
+    import corpus_pipeline
+
+    rng, rows, groups = random.Random(14), [], {}
+    # two groups without ids, and one id with two texts that are not alike
+    for g, ids in enumerate([[None] * 4, [None] * 3, [7, 8], [7, 9]]):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+        for k, d in enumerate(ids):
+            rows.append((d, " ".join([*w[:-1], f"end{k}"])))
+            groups[rows[-1]] = g
+    rows += [(None, ""), (None, None), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    stay = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    assert sorted((groups[r], r[0]) for r in stay if r in groups) == [(0, None), (1, None), (2, 7), (3, 7)]
+    assert sorted((r for r in stay if r not in groups), key=str) == sorted(rows[-3:], key=str)
+
+
 def test_one_id_with_two_texts(spark):
     """Each text of a repeated doc_id is linked by its own set."""
     rng, rows = random.Random(13), []
