@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,16 +50,38 @@ def place_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.unionByName(r)
 
 
+def _character_runs(docs: DataFrame, sizes: list[int], piece: int = 1 << 16) -> DataFrame:
+    """(doc_id, k) of all runs of so many characters of a text, those of each piece of it once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, text in enumerate(batch.column(1).to_pylist()):
+                for at in range(0, max(1, len(text)), piece):
+                    found = {text[i : i + g] for g in sizes for i in range(at, min(at + piece, len(text) - g + 1))}
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([row] * len(found), pa.int64())), pa.array(list(found), pa.string())], ["doc_id", "k"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, StructType([docs.schema["doc_id"], StructField("k", StringType())]))
+
+
 def quotations(docs: DataFrame, items: DataFrame, words: int = 6) -> DataFrame:
     """(item_id, doc_id) of items that stand verbatim in a document.
 
     The items' second to seventh words are a key: documents yield all runs of as many words, so the match is
-    an equi-join on a hash, and only pairs that share it are searched for the whole item."""
+    an equi-join on a hash, and only pairs that share it are searched for the whole item. The first and the
+    last word of an item can be parts of a document's; items without as many words between them have their
+    first twelve characters, or all if they are fewer, as a key instead."""
     split = lambda c: F.split(F.trim(F.regexp_replace(c, r"[ \t\r\n]+", " ")), " ")
     run = lambda w, at: F.xxhash64(F.array_join(F.slice(w, at, F.lit(words)), " "))
-    keyed = items.withColumn("w", split("text")).filter(F.size("w") > words).select("item_id", F.col("text").alias("item"), run(F.col("w"), F.lit(2)).alias("k"))
-    split_docs = docs.filter(F.col("text").isNotNull()).withColumn("w", split("text")).filter(F.size("w") >= words)
+    texts = docs.filter(F.col("text").isNotNull())
+    cut = items.filter(F.col("text").isNotNull()).withColumn("w", split("text"))
+    keyed = cut.filter(F.size("w") > words + 1).select("item_id", F.col("text").alias("item"), run(F.col("w"), F.lit(2)).alias("k"))
+    split_docs = texts.withColumn("w", split("text")).filter(F.size("w") >= words)
     runs = split_docs.select("doc_id", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - words + 1), lambda i: run(F.col("w"), i))).alias("k"))
     met = runs.join(keyed.select("k"), "k", "left_semi").distinct()
     pairs = met.join(keyed, "k").select("doc_id", "item_id", "item")
+    short = cut.filter(F.size("w") <= words + 1).select("item_id", F.col("text").alias("item"), F.substring("text", 1, 12).alias("k"))
+    sizes = sorted(r[0] for r in short.select(F.length("k")).distinct().collect())  # at most 13
+    if sizes:
+        met = _character_runs(texts, sizes).join(short.select("k"), "k", "left_semi").distinct()
+        pairs = pairs.unionByName(met.join(short, "k").select("doc_id", "item_id", "item"))
     return pairs.join(docs.select("doc_id", "text"), "doc_id").filter(F.contains("text", "item")).select("item_id", "doc_id").distinct()
