@@ -12,7 +12,7 @@ Piece scores are the model's; where those are ranks, as in BPE vocabularies, a p
 
 Defined results: a null text gives null pieces, an empty one none; a literal U+2581 falls back to bytes,
 so every text decodes to itself; ties go to the segmentation found first, which depends on the text only;
-repeated rows get equal results; columns with the names of results are replaced, others pass through.
+repeated rows get equal results; a text of any length is one row, whose lattice is held a chunk at a time; columns with the names of results are replaced, others pass through.
 """
 
 from __future__ import annotations
@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BEST = 4
 SPACE = "▁"
-_REMEMBER, _CHUNK = 400_000, 2 << 20
+#: Chunks that a worker remembers, characters of texts solved together, and cells of one lattice array.
+_REMEMBER, _CHUNK, _CELLS = 160_000, 1 << 20, 400_000
 
 
 @dataclass
@@ -73,7 +74,7 @@ class Vocabulary:
 
     def decode(self, ids) -> str:
         """The text of pieces; the space that encoding puts before a text goes."""
-        return b"".join([self.text[i] for i in ids]).decode()[1:]
+        return b"".join(map(self.text.__getitem__, ids)).decode()[1:]
 
     def trie(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Sorted keys (node << 21 | character), the nodes that they lead to, and score and id of each node."""
@@ -92,7 +93,9 @@ class Vocabulary:
 
 @dataclass
 class Segmenter:
-    """Remembers solved chunks: place numbers them, ranked has the n best of those that were searched."""
+    """Remembers solved chunks: place numbers them, ranked has the n best of those that were searched.
+
+    Between texts the memory is cut to the chunks that came up again, so it is bounded by _REMEMBER and one part's chunks."""
 
     vocabulary: Vocabulary
     place: dict[str, int] = field(init=False)
@@ -236,32 +239,52 @@ class Segmenter:
 
     def learn(self, chunks: set[str]) -> None:
         """Solves the chunks that are new, those of like length together."""
-        new = sorted(chunks - self.place.keys(), key=lambda c: (len(c), c))
+        new = sorted(chunks - self.place.keys(), key=len)
         i = 0
         while i < len(new):
             # arrays of chunks times length stay small, whatever the lengths
             width = len(new[i])
             j = i + 1
-            while j < len(new) and len(new[j]) <= max(12, width + width // 4) and (j - i + 1) * len(new[j]) <= 400_000:
+            while j < len(new) and len(new[j]) <= max(12, width + width // 4) and (j - i + 1) * len(new[j]) <= _CELLS:
                 j += 1
             total, gap, flat, offsets = self.solve(new[i:j])
             base, n = len(self.score), len(self.ids)
             self.place.update(zip(new[i:j], range(base, base + j - i), strict=True))
             self.score, self.gap = np.concatenate([self.score, total]), np.concatenate([self.gap, gap])
             self.ids, self.first = np.concatenate([self.ids, flat]), np.concatenate([self.first, offsets[1:] + n])
+            self.parts = np.concatenate([self.parts, np.zeros(j - i, np.int32)])
             i = j
 
     def reset(self) -> None:
         self.place, self.ranked = {}, {}
         self.score, self.gap = np.zeros(0), np.zeros(0)
         self.ids, self.first = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.parts = np.zeros(0, np.int32)
+
+    def trim(self) -> None:
+        """Forgets all but the chunks that most parts have had, at most half of what may be remembered."""
+        most = _REMEMBER // 2
+        keep = self.parts >= 2
+        if keep.sum() > most:
+            keep = self.parts > np.partition(self.parts, -most)[-most]
+        size = np.diff(self.first)[keep]
+        at = np.flatnonzero(keep)
+        number = np.cumsum(keep) - 1
+        self.ids = self.ids[np.arange(int(size.sum())) + np.repeat(self.first[at] - (np.cumsum(size) - size), size)]
+        self.first = np.concatenate([[0], np.cumsum(size)])
+        self.score, self.gap, self.parts = self.score[keep], self.gap[keep], self.parts[keep] // 2
+        self.place = {c: int(number[k]) for c, k in self.place.items() if keep[k]}
+        self.ranked = {}
 
     def encode_all(self, texts: list[str], n: int = BEST) -> Iterator[list[tuple[float, np.ndarray]]]:
         """For each whole text its n best (score, ids), best first; fewer if there are fewer."""
-        if len(self.place) > _REMEMBER:
-            self.reset()
+        if len(self.place) > _REMEMBER or len(self.ids) > 8 * _REMEMBER or len(self.ranked) > _REMEMBER // 8:
+            self.trim()
         chunks = [self.chunks(t) if t else [] for t in texts]
-        self.learn({c for own in chunks for c in own})
+        every = {c for own in chunks for c in own}
+        self.learn(every)
+        self.parts[np.fromiter(map(self.place.__getitem__, every), np.int64, len(every))] += 1
+        del every
         for own in chunks:
             yield self._ranked(own, np.fromiter(map(self.place.__getitem__, own), np.int64, len(own)), n)
 
@@ -329,12 +352,12 @@ def _arrow(values: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values) if values else np.zeros(0, np.int32), pa.int32()))
 
 
-def _parts(texts: list[str | None]) -> Iterator[list[str]]:
-    """Texts in a row, null as empty, of about _CHUNK characters together."""
+def _parts(texts: pa.Array) -> Iterator[list[str]]:
+    """Texts in a row, null as empty, of about _CHUNK characters together; only one part is held as Python strings."""
     held, size = [], 0
     for t in texts:
-        held.append(t or "")
-        size += len(t or "")
+        held.append(t.as_py() or "")
+        size += len(held[-1])
         if size >= _CHUNK:
             yield held
             held, size = [], 0
@@ -351,9 +374,12 @@ def encode(docs: DataFrame, n: int = BEST, path: str = MODEL, text: str = "text"
     @arrow_udf("array<struct<score:double,ids:array<int>>>")
     def nbest(column: pa.Array) -> pa.Array:
         s = segmenter(path)
-        texts = column.to_pylist()
-        best = (b for part in _parts(texts) for b in s.encode_all(part, n))
-        return pa.array([None if t is None else [{"score": v, "ids": ids} for v, ids in b] for t, b in zip(texts, best, strict=True)], kind)
+        none, made, at = column.is_null().to_pylist(), [], 0
+        for part in _parts(column):
+            best = [[{"score": v, "ids": ids} for v, ids in b] for b in s.encode_all(part, n)]
+            made.append(pa.array([None if none[at + k] else b for k, b in enumerate(best)], kind))
+            at += len(part)
+        return pa.concat_arrays(made) if made else pa.array([], kind)
 
     return docs.withColumn("nbest", nbest(F.col(text)))
 
@@ -383,15 +409,17 @@ def digest(docs: DataFrame, n: int = BEST, path: str = MODEL, ids: bool = False)
         s = segmenter(path)
         decode = s.vocabulary.decode
         for batch in batches:
-            rows, kept = [], []
-            for part in _parts(batch.column(1).to_pylist()):
+            at = 0
+            for part in _parts(batch.column(1)):
+                rows, kept = [], []
                 for t, best in zip(part, s.encode_all(part, n), strict=True):
                     raw = [x.astype("<i4").tobytes() for _, x in best]
                     same = all(decode(x.tolist()) == t for _, x in best) if t else True
                     rows.append((len(best[0][1]), best[0][0], hashlib.sha256(raw[0]).hexdigest(), [v for v, _ in best], hashlib.sha256(b"".join(len(x).to_bytes(8, "little") + x for x in raw)).hexdigest(), same))
                     kept.append(best[0][1])
-            types = (pa.int64(), pa.float64(), pa.string(), pa.list_(pa.float64()), pa.string(), pa.bool_())
-            columns = [batch.column(0).cast(pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 6, types, strict=True))]
-            yield pa.RecordBatch.from_arrays(columns + [_arrow(kept)] * ids, names)
+                types = (pa.int64(), pa.float64(), pa.string(), pa.list_(pa.float64()), pa.string(), pa.bool_())
+                columns = [batch.column(0)[at : at + len(part)].cast(pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))]
+                at += len(part)
+                yield pa.RecordBatch.from_arrays(columns + [_arrow(kept)] * ids, names)
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, " + DIGEST + ", ids array<int>" * ids)
