@@ -1,4 +1,4 @@
-"""Anchors of fixed-length windows: for each window of WINDOW bytes the leftmost least hash of its grams.
+"""Anchors of fixed-length windows: for each window of WINDOW bytes, or of WORDS words, the leftmost least hash of its grams.
 
 Equal windows have equal anchors at equal places, so windows that could repeat meet by their anchors."""
 
@@ -9,6 +9,8 @@ import numpy as np
 from .common import mix, powers
 
 WINDOW, GRAM = 400, 32
+#: Over fifty words, and the words of a gram.
+WORDS, WORD_GRAM = 51, 5
 _PLACE = np.uint64((1 << 24) - 1)
 
 
@@ -25,6 +27,45 @@ def piece_hash(sums: np.ndarray, inverse: np.ndarray, start: np.ndarray, end: np
     return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def _least(h: np.ndarray, width: int) -> np.ndarray:
+    """The place of the leftmost least of every width hashes in a row, under 2 ** 24 of them."""
+    low = (h & ~_PLACE) | np.arange(len(h), dtype=np.uint64)
+    span = 1
+    while 2 * span <= width:
+        low = np.minimum(low[:-span], low[span:])
+        span *= 2
+    if span < width:
+        low = np.minimum(low[: len(low) - (width - span)], low[width - span :])
+    return (low & _PLACE).astype(np.int64)
+
+
+def word_sums(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of a polynomial over words, and what brings a difference of two to its place."""
+    n = len(hashes)
+    power, inverse = powers(n + 1)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(hashes * power[:n], out=sums[1:])
+    return sums, inverse
+
+
+def word_anchors(doc: np.ndarray, hashes: np.ndarray):
+    """(first window's first word, fingerprint, windows, context hash) of every anchor of words, as numbers of words.
+
+    doc: the text of each word, in order; windows of WORDS words do not cross texts."""
+    windows, grams = len(hashes) - WORDS + 1, len(hashes) - WORD_GRAM + 1
+    none = np.zeros(0, np.int64)
+    at = np.flatnonzero(doc[:windows] == doc[WORDS - 1 :]) if windows > 0 else none
+    if not len(at):
+        return none, none.astype(np.uint64), none, none.astype(np.uint64)
+    sums, inverse = word_sums(hashes)
+    h = mix((sums[WORD_GRAM:] - sums[:grams]) * inverse[:grams])
+    place = _least(h, WORDS - WORD_GRAM + 1)
+    first = np.flatnonzero((np.diff(place[at], prepend=-1) != 0) | (np.diff(doc[at], prepend=-1) != 0))
+    count = np.diff(np.append(first, len(at)))
+    start = at[first]
+    return start, h[place[start]], count, piece_hash(sums, inverse, start, start + count - 1 + WORDS)
+
+
 def anchors(data: np.ndarray, offsets: np.ndarray):
     """(document, fingerprint, first window, windows, context hash) of every anchor, windows relative to the document.
 
@@ -36,14 +77,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray):
         none = np.zeros(0, np.int64)
         return none, none.astype(np.uint64), none, none, none.astype(np.uint64)
     h = mix((sums[GRAM:] - sums[:grams]) * inverse[:grams])
-    low = (h & ~_PLACE) | np.arange(grams, dtype=np.uint64)
-    span = 1
-    while 2 * span <= width:
-        low = np.minimum(low[:-span], low[span:])
-        span *= 2
-    if span < width:
-        low = np.minimum(low[: len(low) - (width - span)], low[width - span :])
-    place = (low & _PLACE).astype(np.int64)
+    place = _least(h, width)
     # windows must not cross documents
     size = np.diff(offsets)
     valid = np.zeros(windows + 1, np.int8)

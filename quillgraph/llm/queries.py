@@ -119,13 +119,19 @@ WITH b AS (
     FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM again)
 ), runs AS (
     SELECT doc_id, min(i) AS low, max(i) + 399 AS high, coalesce(lag(max(i) + 399) OVER (PARTITION BY doc_id ORDER BY min(i)), 0) AS last FROM marked GROUP BY doc_id, run
+), words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL
+), passages AS (
+    SELECT doc_id, hash(array_to_string(w[i:i + 50], ' ')) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 49)) AS i FROM words WHERE len(w) >= 51)
+), told AS (
+    SELECT doc_id, count(*) AS n FROM passages JOIN (SELECT k FROM passages GROUP BY k HAVING count(*) > 1) USING (k) GROUP BY doc_id
 ), cut AS (
     SELECT doc_id, sum(high - low + 1) AS n_removed, count(*) AS n_spans, max(high) AS tail, string_agg(substr(x, 2 * last + 1, 2 * (low - last - 1)), '' ORDER BY low) AS kept
     FROM runs JOIN b USING (doc_id) GROUP BY doc_id
 )
 SELECT b.doc_id, length(x) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-    sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
-FROM b LEFT JOIN cut USING (doc_id)
+    sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(tail, 0) + 1))) AS kept_sha256, coalesce(told.n, 0) AS passage_windows
+FROM b LEFT JOIN cut USING (doc_id) LEFT JOIN told USING (doc_id)
 """
 
 
