@@ -1,15 +1,17 @@
 """Mixing sources to target weights by balanced sampling with the cube method.
 
 Every document of a source has the inclusion expectation target / source size, between 0 and the most
-repeats: its whole part is taken for sure, its fractional part is a probability. The flight phase moves
-three probabilities at a time along the null space of the constraints (documents, words) until one of
+repeats: its whole part is taken for sure, its fractional part is a probability; rows that are equal are one
+unit. The flight phase moves the probabilities along the null space of the constraints (documents, words) until one of
 them is 0 or 1, first inside hashed blocks of a source, then over the few that each block leaves, level
-by level, until at most two are left for each source. The landing phase drops the word constraint for them.
-Its last flight is drawn TRIES times and the draw whose words come nearest their expectation stays.
+by level, until at most two are left for each source. Each move decides the longest open document if it can,
+and the others make up for it. The landing phase drops the constraints one after the other for the shortest
+that are left. All moves are fair games: no draw is chosen over another, so inclusion probabilities hold.
 
 Defined results: a null or empty text has size 0 and is taken 0 words; a null source is a source of its
 own, last in order; rows that repeat count each; an empty table gives no rows; a source of size 0 has
-target 0; columns with the names of results are replaced in mix() and the others pass through.
+target 0; a text of any length is only counted; ties of size go by a key of the row; columns with the names of
+results are replaced in shares(), all pass through in mix().
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from .common import keep
 WORD = r"[^\x20\x09-\x0D]+"
 #: Fixed values of the mix: weights in turn, share of all words, repeats at most.
 WEIGHTS, SHARE, REPEATS = (3, 1, 2), 1.5, 2
-BLOCK, TRIES = 1000, 64
+BLOCK = 512
 _NEAR = 1e-9
 
 
@@ -53,68 +55,61 @@ def targets(sizes: DataFrame, weights: Iterable[int] = WEIGHTS, share: float = S
     return s.withColumn("target", target).drop("weight", "most", "ratio", "full", "full_weight", "all_weight", "all_size", "level")
 
 
-def fly(p: list[float], size: list[float], draw, land: bool) -> None:
-    """Moves the probabilities p in place until at most two are fractional, or with land none."""
-    active: list[int] = []
-    for k in range(len(p)):
-        if not _NEAR < p[k] < 1 - _NEAR:
-            p[k] = float(round(p[k]))
-            continue
-        active.append(k)
-        if len(active) < 3:
-            continue
-        a, b, c = active
-        move = (size[b] - size[c], size[c] - size[a], size[a] - size[b])
-        if move == (0, 0, 0):
-            move = (1.0, -1.0, 0.0)
-        up = min((1 - p[i]) / u if u > 0 else p[i] / -u for i, u in zip(active, move, strict=True) if u)
-        down = min(p[i] / u if u > 0 else (1 - p[i]) / -u for i, u in zip(active, move, strict=True) if u)
-        step = up if draw() < down / (up + down) else -down
-        for i, u in zip(active, move, strict=True):
-            p[i] += step * u
-            if not _NEAR < p[i] < 1 - _NEAR:
-                p[i] = float(round(p[i]))
-        active = [i for i in active if 0 < p[i] < 1]
-    if land and active:
-        x = draw()
-        if len(active) == 1:
-            p[active[0]] = float(x < p[active[0]])
-        else:  # the total of both comes as near as a whole number can
-            i, j = active
-            a, b = p[i], p[j]
-            if a + b <= 1:
-                p[i], p[j] = float(x < a), float(a <= x < a + b)
-            else:
-                p[i], p[j] = float(x < a), float(x >= 1 - b)
+def _direction(p: np.ndarray, size: np.ndarray, both: bool) -> np.ndarray:
+    """A move by one of the first probability that the others make up for in words, and with both in number.
+
+    They do so in proportion to their room p (1 - p), so that the first is mostly the one that reaches its end."""
+    room, rest, own = p[1:] * (1 - p[1:]), size[1:], size[0]
+    v = np.ones(len(p))
+    n, w, ww = room.sum(), (room * rest).sum(), (room * rest * rest).sum()
+    det = n * ww - w * w
+    if both and len(p) > 2 and det <= 1e-9 * n * ww and abs(n * own - w) > 1e-9 * n * own:
+        # the others are all of one size and cannot make up for both: they move among themselves
+        v[0], v[1:] = 0, _direction(p[1:], rest, True)
+    elif both and len(p) > 2 and det > 1e-9 * n * ww:
+        v[1:] = -room * ((ww - w * own) + (n * own - w) * rest) / det
+    elif own and ww:
+        v[1:] = -room * rest * (own / ww)
+    else:  # all of the same size, or of none
+        v[1:] = -room / n
+    return v
+
+
+def fly(p: np.ndarray, size: np.ndarray, draw, land: bool) -> np.ndarray:
+    """The probabilities p (sizes falling) moved along the null space of the constraints until at most two are
+    fractional; with land the constraints are dropped, the number first, then the words, until none is.
+
+    Each move is a fair game, so every unit keeps its probability. The longest unit that is still open is
+    decided first, and all others make up for it a little; those that are left to land are the shortest."""
+    p = np.where((p > _NEAR) & (p < 1 - _NEAR), p, np.rint(p))
+    live = np.flatnonzero((p > 0) & (p < 1))
+    while len(live) > (0 if land else 2):
+        q = p[live]
+        v = _direction(q, size[live], True) if len(live) > 1 else np.ones(1)
+        with np.errstate(divide="ignore"):
+            reach = np.where(v > 0, (1 - q) / v, np.where(v < 0, -q / v, np.inf))
+            back = np.where(v > 0, q / v, np.where(v < 0, (q - 1) / v, np.inf))
+        up, down = reach.min(), back.min()
+        q = q + v * (up if draw() < down / (up + down) else -down)
+        p[live] = np.where((q > _NEAR) & (q < 1 - _NEAR), q, np.rint(q))
+        live = live[(p[live] > 0) & (p[live] < 1)]
+    return p
 
 
 def _flight(units: DataFrame, level: int, seed: int, land: bool) -> DataFrame:
     """units: (h, src, block, size, p, ...) with p moved inside each (src, block)."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        # long documents first: those that a block leaves are then mostly short
         pdf = pdf.sort_values(["size", "h"], ascending=[False, True], kind="stable")
         first = pdf.iloc[0]
         rng = np.random.default_rng([seed, level, int(first["src"]), int(first["block"])])
-        p, size = pdf["p"].tolist(), pdf["size"].astype(float).tolist()
-        if not land:
-            fly(p, size, rng.random, False)
-            return pdf.assign(p=p)
-        words, rows = float(np.dot(p, size)), sum(p)
-        best = None
-        for _ in range(TRIES):
-            q = list(p)
-            fly(q, size, rng.random, True)
-            off = (abs(float(np.dot(q, size)) - words), abs(sum(q) - rows))
-            if best is None or off < best[0]:
-                best = off, q
-        return pdf.assign(p=best[1])
+        return pdf.assign(p=fly(pdf["p"].to_numpy(float), pdf["size"].to_numpy(float), rng.random, land))
 
     return units.groupBy("src", "block").applyInPandas(run, units.schema)
 
 
 def decide(units: DataFrame, block: int = BLOCK, seed: int = 0) -> DataFrame:
-    """units (doc_id, h, src, n, size, p; n: the units of the source) with p moved to 0 or 1."""
+    """units (h, src, n, size, p; n: the units of the source) with p moved to 0 or 1."""
     most = units.agg(F.max("n")).first()[0] or 0
     done, level, bound = None, 0, most
     while True:
@@ -131,27 +126,49 @@ def decide(units: DataFrame, block: int = BLOCK, seed: int = 0) -> DataFrame:
         level, bound = level + 1, 2 * -(-bound // block)
 
 
-def shares(docs: DataFrame, **options) -> DataFrame:
-    """(doc_id, h, source, size, source_size, target, copies): how often the mix takes each document whole."""
-    rows = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.xxhash64("doc_id", "text").alias("h"))
-    rows = keep(rows)
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
+def _key():
+    """A key of a row: rows that share it are interchangeable."""
+    return F.xxhash64("doc_id", F.col("text").isNull(), "text", F.col("source").isNull(), "source")
+
+
+def _decided(rows: DataFrame, **options) -> DataFrame:
+    """(h, rows, target, source_size, total): how often the mix takes the rows of each key, together."""
+    units = keep(rows.groupBy("h").agg(F.first("source").alias("source"), F.first("size").alias("size"), F.count(F.lit(1)).alias("rows")))
+    sizes = units.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.count(F.lit(1)).alias("n"))
     sources = keep(targets(sizes, **options))
     known = sources.withColumnRenamed("source", "__source")
-    rows = rows.join(known, rows["source"].eqNullSafe(known["__source"])).drop("__source")
-    rows = rows.withColumn("expected", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)))
-    rows = rows.withColumn("p", F.col("expected") - F.floor("expected"))
-    decided = decide(rows.select("doc_id", "h", "src", "n", F.col("size").alias("size"), "p", "source", "source_size", "target", F.floor("expected").alias("whole")))
-    return decided.select("doc_id", "h", "source", "size", "source_size", "target", (F.col("whole") + F.col("p").cast("long")).alias("copies"))
+    units = units.join(known, units["source"].eqNullSafe(known["__source"])).drop("__source", "source")
+    expected = F.when(F.col("source_size") > 0, F.col("rows") * F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    units = units.withColumn("whole", F.floor(expected)).withColumn("p", expected - F.col("whole"))
+    decided = decide(units)
+    return decided.select("h", "rows", "target", "source_size", (F.col("whole") + F.col("p").cast("long")).alias("total"))
+
+
+def shares(docs: DataFrame, **options) -> DataFrame:
+    """(doc_id, h, source, size, source_size, target, copies): how often the mix takes each document whole."""
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    rows = keep(docs.select("doc_id", "source", size.alias("size"), _key().alias("h"), F.spark_partition_id().alias("part")))
+    decided = keep(_decided(rows, **options))
+    names = ("doc_id", "h", "source", "size", "source_size", "target")
+    found = rows.join(decided, "h")
+    alone = found.filter("rows = 1").select(*names, F.col("total").alias("copies"))
+    # equal rows are numbered inside the parts that they came in, so that no task holds all of a frequent row
+    again = found.filter("rows > 1").withColumn("own", F.row_number().over(W.partitionBy("h", "part").orderBy("part")))
+    parts = again.groupBy("h", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(W.partitionBy("h").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    number = F.col("own") + F.col("before")
+    again = again.join(parts.select("h", "part", before.alias("before")), ["h", "part"])
+    extra = (number <= F.col("total") % F.col("rows")).cast("long")
+    return alone.unionByName(again.select(*names, (F.floor(F.col("total") / F.col("rows")) + extra).alias("copies")))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The documents that the mix takes, each as often as it takes it, with their own columns only.
 
-    Rows that are alike are interchangeable: together they come as often as the mix takes any of them."""
-    taken = shares(docs, **options).groupBy("h").agg(F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows"))
-    taken = keep(taken.filter(F.col("__copies") > 0).withColumnRenamed("h", "__h"))
-    out = docs.withColumn("__h", F.xxhash64("doc_id", "text")).join(taken, "__h")
-    # one of the rows that are alike stands for all of them
+    Rows that are alike are interchangeable: one of them comes as often as the mix takes any of them."""
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    taken = _decided(docs.select("source", size.alias("size"), _key().alias("h")), **options)
+    taken = keep(taken.filter(F.col("total") > 0).select(F.col("h").alias("__h"), F.col("total").alias("__copies"), F.col("rows").alias("__rows")))
+    out = docs.withColumn("__h", _key()).join(taken, "__h")
     both = out.filter(F.col("__rows") == 1).unionByName(out.filter(F.col("__rows") > 1).dropDuplicates(["__h"]))
     return both.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
