@@ -7,14 +7,17 @@ before it, and empty messages of either side may be put in. The repaired message
 
 The step of one message is a small matrix in the (min, +) algebra, and matrices of neighbouring messages
 combine to one. Rows are dealt by ranges of (conversation, turn), so a conversation of any length lies in
-as many parts as it needs: each part yields its matrix, the matrices of conversations that cross parts,
-two for each part at most, are combined on the driver, and every part then repairs its own messages from
-the state and cost that it is entered with.
+as many parts as it needs: each part yields its matrix, and the matrices of conversations that cross parts,
+two for each part at most, are combined on the driver to the costs that each part is entered with. From these
+such parts tell by which state they are entered for each one that they could be left by, the driver goes
+through these backward, and every part then repairs its own messages.
 
-Costs: fixed values below. Ties go to the lower state and the earlier choice, in the order of CHOICES.
+Costs: fixed values below. Ties are broken from the end backward, by the lower state and then the earlier choice in
+the order of CHOICES, in a whole conversation as in one that lies in many parts: results do not depend on them.
 
 Defined results: a null role or one that is not known counts as foreign, whose relabelling is cheap; a
-null or empty text stays as an empty message; messages of equal turn go by role, then text, nulls first;
+null or empty text stays as an empty message; a text of any length is one row and is never cut; messages of equal
+turn go by role, then text, nulls first;
 rows with a null conversation form one conversation; repeated rows each stay a message; an empty table
 gives no rows; other columns are ignored.
 """
@@ -110,30 +113,46 @@ FINISH = ((), (USER, ASSISTANT), (ASSISTANT,), ())
 _END = np.asarray([0, 2 * INSERT, INSERT, 0], np.int64)
 
 
-def repair(roles: list[str | None], entry: np.ndarray, after: np.ndarray, previous: str | None) -> tuple[list[Move], np.ndarray]:
-    """The cheapest moves of a run of messages: entry, what each state before it has cost; after, what each one after it will."""
+def _costs(roles: list[str | None], entry: np.ndarray, previous: str | None) -> tuple[list[np.ndarray], list]:
+    """What each state costs before the first and after every message, and the moves of each."""
     costs, steps = [entry], []
     for role in roles:
         own, matrix = _step(role, previous)
         steps.append(own)
         costs.append(np.minimum((costs[-1][:, None] + matrix).min(axis=0), _FAR))
         previous = role
-    state = int(np.argmin(costs[-1] + after))
+    return costs, steps
+
+
+def _back(costs: list[np.ndarray], steps: list, state: int) -> tuple[list[Move], int]:
+    """The moves that end in state, and the state that they begin in."""
     out = []
-    for k in range(len(roles) - 1, -1, -1):
-        best = None
-        for s in range(STATES):
-            for m in steps[k][s]:
-                if m.to == state and costs[k][s] + m.cost == costs[k + 1][state]:
-                    best = best or (s, m)
-        state = best[0]
-        out.append(best[1])
-    return out[::-1], costs[-1]
+    for k in range(len(steps) - 1, -1, -1):
+        found = ((s, m) for s in range(STATES) for m in steps[k][s] if m.to == state and costs[k][s] + m.cost == costs[k + 1][state])
+        state, move = next(found)
+        out.append(move)
+    return out[::-1], state
+
+
+def repair(roles: list[str | None], entry: np.ndarray, leave: int | None = None, previous: str | None = None) -> list[Move]:
+    """The cheapest moves of a run of messages: entry, what each state before it costs; leave: the state that it has
+    to end in, without one that which is the cheapest to finish."""
+    costs, steps = _costs(roles, entry, previous)
+    return _back(costs, steps, int(np.argmin(costs[-1] + _END)) if leave is None else leave)[0]
 
 
 _FIRST = np.asarray([0, _FAR, _FAR, _FAR], np.int64)
 
 
+_TYPES = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "array<long>": pa.list_(pa.int64())}
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    fields = [f.split() for f in schema.split(", ")]
+    columns = list(zip(*rows, strict=True)) or [[]] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, _TYPES[t]) for c, (_, t) in zip(columns, fields, strict=True)], [n for n, _ in fields])
+
+
 def _groups(batches: Iterator[pa.RecordBatch]):
     """(part, run, conversation, rows) in order, a run of equal conversations in a part each; rows: (turn, role, text)."""
     now, held, run = None, [], 0
@@ -171,99 +190,103 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.where(np.eye(STATES, dtype=bool), 0, _FAR).astype(np.int64)
         if run > 1:
             runs.pop()
-        runs.append((part, run, conv, rows[0][1], rows[-1][1], total.ravel().tolist()))
-    columns = list(zip(*runs, strict=True)) or [[]] * 6
-    types = (pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()))
-    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["part", "run", "conv", "first", "last", "matrix"])
+        runs.append((part, run, conv, len(rows), rows[0][1], rows[-1][1], total.ravel().tolist()))
+    yield _batch(runs, _RUNS)
+
 
+_RUNS = "part int, run long, conv long, n long, first string, last string, matrix array<long>"
 
-def _borders(rows: list) -> dict[tuple[int, int], tuple]:
-    """(part, run) -> (entry costs, costs after, raw role before, is it the end) of runs whose conversation crosses parts."""
+
+@dataclass
+class Border:
+    """A part of a conversation that crosses parts: costs at its entry, the raw role and the number of messages before
+    it, the state that it is left by, and whether the conversation ends in it."""
+
+    entry: np.ndarray
+    previous: str | None
+    before: int
+    leave: int | None = None
+    end: bool = False
+
+
+def _chains(rows: list) -> list[list[tuple[tuple[int, int], Border]]]:
+    """The parts of each conversation that has several, in order; the last one's leave is known."""
     chains: dict = {}
     for r in sorted(rows, key=lambda r: (r.part, r.run)):
         chains.setdefault(r.conv, []).append(r)
-    out = {}
+    out = []
     for chain in chains.values():
         if len(chain) < 2:
             continue
-        entry, entries, previous, before = _FIRST, [], None, []
-        steps = []
+        entry, previous, before, found = _FIRST, None, 0, []
         for r in chain:
-            entries.append(entry)
-            before.append(previous)
+            found.append(((r.part, r.run), Border(entry, previous, before)))
             whole = _times(_step(r.first, previous)[1], np.asarray(r.matrix, np.int64).reshape(STATES, STATES))
-            steps.append(whole)
             entry = np.minimum((entry[:, None] + whole).min(axis=0), _FAR)
-            previous = r.last
-        after = _END
-        afters = []
-        for whole in reversed(steps):
-            afters.append(after)
-            after = np.minimum((whole + after[None, :]).min(axis=1), _FAR)
-        afters.reverse()
-        # one way through all parts: each is entered by the state in which the one before it ends
-        state = START
-        for r, whole, later, previous in zip(chain, steps, afters, before, strict=True):
-            only = np.full(STATES, _FAR, np.int64)
-            only[state] = 0
-            leave = int(np.argmin(np.minimum(whole[state], _FAR) + later))
-            goal = np.full(STATES, _FAR, np.int64)
-            goal[leave] = 0
-            out[r.part, r.run] = (only, goal, previous, r is chain[-1])
-            state = leave
+            previous, before = r.last, before + r.n
+        found[-1][1].leave, found[-1][1].end = int(np.argmin(entry + _END)), True
+        out.append(found)
     return out
 
 
-_OUT = "conv_id long, part int, seq long, turn long, role string, text string, change string, rendered string"
+_OUT = "conv_id long, message long, piece long, turn long, role string, text string, change string, rendered string"
 
 
 def format_chats(messages: DataFrame, template: str = TEMPLATE) -> DataFrame:
-    """One row for each message of the repaired conversations: conv_id, part, seq, turn, role, text, change, rendered.
+    """One row for each message of the repaired conversations: conv_id, message, piece, turn, role, text, change, rendered.
 
-    (part, seq) orders a conversation's rows; change is kept, relabelled, joined or inserted; a joined
-    message is rendered as the continuation of the one before. rendered, concatenated in order, is the
-    whole conversation in the template's form."""
+    message numbers a conversation's messages as they were given, from 0; (message, piece) orders the rows, as
+    inserted messages come with that before which, or at the end after which, they stand. change is kept,
+    relabelled, joined or inserted; a joined message is rendered as the continuation of the one before. rendered,
+    concatenated in order, is the whole conversation in the template's form."""
     head, _, tail = template.partition("{text}")
     rows = messages.select(F.col("conv_id").cast("long").alias("conv"), F.col("turn").cast("long").alias("turn"), "role", "text")
     dealt = rows.repartitionByRange("conv", "turn", "role", F.xxhash64("text")).sortWithinPartitions("conv", "turn", "role", "text")
     dealt = keep(dealt.mapInArrow(_numbered, "part int, place long, conv long, turn long, role string, text string"))
     dealt = dealt.repartition("part").sortWithinPartitions("part", "place").select("part", "conv", "turn", "role", "text")
-    borders = _borders(dealt.mapInArrow(_parts, "part int, run long, conv long, first string, last string, matrix array<long>").collect())
-    sent = messages.sparkSession.sparkContext.broadcast(borders)  # two for each partition at most
+    spark = messages.sparkSession
+    chains = _chains(dealt.mapInArrow(_parts, _RUNS).collect())  # two rows for each partition at most
+    borders = {key: border for chain in chains for key, border in chain}
+    if chains:
+        entries = spark.sparkContext.broadcast(borders)
+
+        def ways(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found = []
+            for part, k, _, rows in _groups(batches):
+                if (own := entries.value.get((part, k))) is not None:
+                    costs, steps = _costs([r for _, r, _ in rows], own.entry, own.previous)
+                    found.append((part, k, [_back(costs, steps, s)[1] if costs[-1][s] < _FAR else -1 for s in range(STATES)]))
+            yield _batch(found, "part int, run long, ways array<long>")
+
+        entered = {(r.part, r.run): r.ways for r in dealt.mapInArrow(ways, "part int, run long, ways array<long>").collect()}
+        for chain in chains:
+            for (key, later), (_, border) in zip(chain[:0:-1], chain[-2::-1], strict=True):
+                border.leave = entered[key][later.leave]
+    sent = spark.sparkContext.broadcast(borders)
+    whole = Border(_FIRST, None, 0, None, True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = []
-
-        def batch():
-            columns = list(zip(*out, strict=True)) or [[]] * 8
-            types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string())
-            made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [c.split()[0] for c in _OUT.split(", ")])
-            out.clear()
-            return made
-
+        out: list[tuple] = []
         for part, k, conv, rows in _groups(batches):
-            entry, after, previous, end = sent.value.get((part, k), (_FIRST, _END, None, True))
-            plan, cost = repair([r for _, r, _ in rows], entry, after, previous)
-            seq, opened = 0, int(np.argmin(entry)) != START
-            put = lambda *row: out.append((conv, part, *row))
-            for (turn, role, text), m in zip(rows, plan, strict=True):
-                for r in m.inserted:
-                    put(seq, None, r, "", "inserted", (tail if opened else "") + head.format(role=r))
-                    seq, opened = seq + 1, True
+            own = sent.value.get((part, k), whole)
+            plan = repair([r for _, r, _ in rows], own.entry, own.leave, own.previous)
+            opened, message = own.before > 0, own.before
+            for message, ((turn, role, text), m) in enumerate(zip(rows, plan, strict=True), own.before):
+                for piece, r in enumerate(m.inserted):
+                    out.append((conv, message, piece, None, r, "", "inserted", (tail if opened else "") + head.format(role=r)))
+                    opened = True
                 change = "joined" if m.join else "kept" if m.role == role else "relabelled"
                 start = "\n" if m.join else (tail if opened else "") + head.format(role=m.role)
-                put(seq, turn, m.role, text or "", change, start + (text or ""))
-                seq, opened = seq + 1, True
-            if end:
-                state = plan[-1].to
-                for r in FINISH[state]:
-                    put(seq, None, r, "", "inserted", tail + head.format(role=r))
-                    seq += 1
+                out.append((conv, message, len(m.inserted), turn, m.role, text or "", change, start + (text or "")))
+                opened = True
+            if own.end:
+                for piece, r in enumerate(FINISH[plan[-1].to], out[-1][2] + 1):
+                    out.append((conv, message, piece, None, r, "", "inserted", tail + head.format(role=r)))
                 *rest, last = out.pop()
                 out.append((*rest, last + tail))
             if len(out) > 20_000:
-                yield batch()
-        yield batch()
+                yield _batch(out, _OUT)
+                out = []
+        yield _batch(out, _OUT)
 
     return dealt.mapInArrow(run, _OUT)
-
