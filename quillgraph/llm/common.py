@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 import numpy as np
@@ -23,10 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a local one is set only where that is unset."""
+    """The folder named by spark.checkpoint.dir; a local one is set only where that is unset and all run on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "file:///tmp/quillgraph-checkpoints"
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = f"file://{tempfile.gettempdir()}/quillgraph-checkpoints"
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
@@ -47,6 +51,15 @@ def drop(df: DataFrame) -> None:
         jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
+#: Rows of a few numbers that are broadcast at most, some dozen MB as a table.
+FEW = 1 << 20
+
+
+def within(df: DataFrame, most: int = FEW) -> DataFrame:
+    """df, a written table of narrow rows, to be broadcast if it has at most so many; else joins shuffle it."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The concatenated UTF-8 bytes of a string column and its n + 1 offsets; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

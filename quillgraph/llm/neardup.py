@@ -18,7 +18,7 @@ of just that similarity meets in some band with a probability of at least 1 - MI
 Defined results: null and empty texts and those of white space only have no shingles and are their own
 component; texts under five words have their whole sequence as one shingle; ties go to the smaller
 doc_id; rows that repeat a doc_id form one class only if their sets are equal; without a doc_id a row is kept
-only if its class and component have none; other columns are ignored or pass through.
+only if its class and component have none; a text of any length is one set; other columns are ignored or pass through.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Words, keep, mix, slices, utf8
+from .common import Words, drop, keep, mix, slices, utf8, within
 from .graph import components
 
 SIZE, BANDS, ROWS = 5, 25, 5
@@ -185,9 +185,11 @@ def _promising(pairs: DataFrame, classes: DataFrame, level: Level) -> DataFrame:
     return both.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(run, "a long, b long")
 
 
-def _members(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, members): the full sets of the wanted nodes, made from their texts again."""
-    texts = docs.select(F.xxhash64("doc_id", "text").alias("h"), "text").join(wanted.join(classes.select("node", "h"), "node"), "h").dropDuplicates(["node"]).select("node", "text")
+def _members(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, members): the full sets of nodes (node), which are keys of rows, made from their texts again.
+
+    Where the nodes are few enough to be broadcast, no other text is shuffled."""
+    texts = docs.select(F.xxhash64("doc_id", "text").alias("node"), "text").join(within(nodes), "node").dropDuplicates(["node"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,12 +201,11 @@ def _members(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
     return keep(texts.mapInArrow(run, "node long, members binary"))
 
 
-def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough.
 
     The sets of b travel to those of a, at most GROUP together, so a class that many are compared with
     is copied to as many tasks as it needs."""
-    held = _members(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), classes, docs)
     groups = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("salts"))
     left = groups.join(held.withColumnRenamed("node", "a"), "a").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).select("a", "salt", F.lit(None).cast("long").alias("b"), "members")
     right = pairs.join(groups, "a").join(held.withColumnRenamed("node", "b"), "b").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), "b", "members")
@@ -231,9 +232,12 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int)
 
 
 def _open(rows: DataFrame) -> DataFrame:
-    """rows (key, node, label, r, n) of keys that hold several components, with how many rows each has."""
+    """rows (key, node, label, r, n) of keys that hold several components, with how many rows each has.
+
+    The keys are written first: joined to a written table, the rows of a frequent key can be split."""
     keys = rows.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("rows"))
-    return rows.join(keys.filter(F.col("x") != F.col("y")).select("key", "rows"), "key").select("key", "node", "label", "r", "n", "rows")
+    keys = keep(keys.filter(F.col("x") != F.col("y")).select("key", "rows"))
+    return rows.join(keys, "key").select("key", "node", "label", "r", "n", "rows")
 
 
 def _enough(n_a, r_a, n_b, r_b, percent, least=min):
@@ -273,7 +277,7 @@ def _blocked(rows: DataFrame, classes: DataFrame, level: Level) -> DataFrame:
     return many.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")
 
 
-def _rarest(nodes: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _rarest(nodes: DataFrame, classes: DataFrame, held: DataFrame, percent: int) -> DataFrame:
     """(key, node, label, r, n): of each node the rarest shingles, one of which a linked set must share, as keys, and their places.
 
     Of n shingles a linked set shares at least percent % of n, so it shares one of the n less that, plus
@@ -286,21 +290,21 @@ def _rarest(nodes: DataFrame, classes: DataFrame, docs: DataFrame, percent: int)
                 node = np.repeat(np.asarray(batch.column(0)[i : i + 64], np.int64), [len(x) // 8 for x in held])
                 yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(np.frombuffer(b"".join(held), np.int64))], ["node", "key"])
 
-    tokens = keep(_members(nodes.select("node"), classes, docs).mapInArrow(run, "node long, key long"))
-    common = tokens.groupBy("key").agg(F.count(F.lit(1)).alias("df"))
+    tokens = keep(held.join(nodes.select("node"), "node", "left_semi").mapInArrow(run, "node long, key long"))
+    common = keep(tokens.groupBy("key").agg(F.count(F.lit(1)).alias("df")))
     ranked = tokens.join(common, "key").withColumn("r", F.row_number().over(W.partitionBy("node").orderBy("df", "key")))
     reach = classes.select("node", "n", (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).alias("reach"))
     return ranked.filter(F.col("df") > 1).join(reach, "node").filter(F.col("r") <= F.col("reach")).join(nodes, "node").select("key", "node", "label", "r", "n")
 
 
-def _across(met: DataFrame, classes: DataFrame, labels: DataFrame, tried: DataFrame, docs: DataFrame, level: Level) -> DataFrame:
+def _across(met: DataFrame, classes: DataFrame, labels: DataFrame, tried: DataFrame, held: DataFrame, level: Level) -> DataFrame:
     """Candidate pairs (a < b) that share a bucket but no component yet."""
     labelled = met.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"), F.lit(1).alias("r"), F.lit(0).cast("long").alias("n"))
-    rows = keep(_open(labelled))
+    rows = keep(_open(keep(labelled)))
     small = _listed(rows.filter(F.col("rows") <= SMALL), level.percent)
     nodes = keep(rows.filter(F.col("rows") > SMALL).select("node", "label").distinct())
     if not nodes.isEmpty():
-        rare = keep(_open(_rarest(nodes, classes, docs, level.percent)))
+        rare = keep(_open(keep(_rarest(nodes, classes, held, level.percent))))
         small = small.unionByName(_listed(rare.filter(F.col("rows") <= SMALL), level.percent))
         large = _blocked(rare.filter(F.col("rows") > SMALL), classes, level).distinct().join(tried, ["a", "b"], "left_anti")
     small = _promising(small.distinct().join(tried, ["a", "b"], "left_anti"), classes, level)
@@ -315,25 +319,32 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = keep(described(docs, level.registers))
     classes = rows.filter(F.col("n") > 0).groupBy("low", "high").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h")).alias("first"), F.min("n").alias("n"), F.min_by("sketch", "h").alias("sketch"))
     classes = keep(classes.select(F.col("first.h").alias("node"), F.col("first.h").alias("h"), "first.doc_id", "low", "high", "n", "sketch"))
-    banded = bands(classes, level.bands)
-    met = banded.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
-    met = keep(banded.join(met, "key"))
+    banded = keep(bands(classes, level.bands))
+    several = keep(banded.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1))
+    met = keep(banded.join(several, "key"))
+    drop(banded)
     # the class that shares most buckets is the centre of each that it is in
-    weight = met.groupBy("node").agg(F.sum("rows").alias("weight"))
+    weight = keep(met.groupBy("node").agg(F.sum("rows").alias("weight")))
+    held = _members(weight.select("node"), docs)
     weighed = met.join(weight, "node")
     centre = weighed.groupBy("key").agg(F.max(F.struct("weight", F.bitwise_not("node").alias("minus"))).alias("top")).select("key", F.bitwise_not("top.minus").alias("centre"))
-    star = met.join(centre, "key").filter(F.col("node") != F.col("centre")).select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    star = met.join(keep(centre), "key").filter(F.col("node") != F.col("centre")).select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     star = keep(_promising(star, classes, level))
-    first = keep(_linked(star, classes, docs, percent))
+    first = keep(_linked(star, held, percent))
     tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = keep(_across(met, classes, components(first), tried, docs, level))
-    links = first if rest.isEmpty() else first.unionByName(_linked(rest, classes, docs, percent))
+    rest = keep(_across(met, classes, components(first), tried, held, level))
+    links = keep(first if rest.isEmpty() else first.unionByName(_linked(rest, held, percent)))
+    drop(held)
+    drop(met)
     labels = components(links)
     # classes are named by a key of their text, as a doc_id can have several; a component's name is its smallest doc_id; classes without one have none to give
     named = classes.select("low", "high", "node", "doc_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     names = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     named = named.join(names, "label").select("low", "high", "component_id", "label")
-    out = rows.drop("sketch").join(named, ["low", "high"], "left")
+    # rows without shingles meet nobody, however many they are
+    out = rows.filter(F.col("n") > 0).drop("sketch").join(named, ["low", "high"])
+    bare = rows.filter(F.col("n") == 0).drop("sketch").withColumns({"component_id": F.col("doc_id"), "label": F.lit(None).cast("long")})
+    out = out.unionByName(bare)
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     out = out.select("doc_id", "h", F.col("n").alias("n_shingles"), component.alias("component_id"), F.when(F.col("n") > 0, F.col("label")).alias("label"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
