@@ -2,7 +2,9 @@
 
 Every stage works on all that the one before kept. All but the last return the columns of documents.
 Defined results: an empty table passes through every stage as one; null or letterless texts go in the
-first stage; rows alike in id and text count as copies of one document in the second."""
+first stage; rows alike in id and text count as copies of one document in the second; of documents that tie, the
+smallest id stays; texts of any length are scanned, mixed and encoded whole; the columns of documents alone pass
+through, so no name can clash."""
 
 from __future__ import annotations
 
@@ -10,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillgraph.llm import langid, mixing, neardup, pieces, secrets
-from quillgraph.llm.common import keep, table
+from quillgraph.llm.common import keep, table, within
 
 #: Documents of which a smaller share of n-grams belongs to the best language are rejected.
 LEAST_SCORE = 0.25
@@ -26,14 +28,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that with the smallest id, or any if none has one."""
-    found = neardup.near_duplicates(docs, NEAR_PERCENT)
+    found = keep(neardup.near_duplicates(docs, NEAR_PERCENT))
     stay = found.filter("kept").groupBy(F.coalesce("label", "h").alias("g")).agg(F.min("h").alias("__h"))
     stay = keep(stay.select("__h").distinct())
-    again = found.groupBy("h").agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > 1).withColumnRenamed("h", "__h")
-    rows = docs.withColumn("__h", F.xxhash64("doc_id", "text")).join(stay.join(again, "__h", "left"), "__h")
-    alone = rows.filter(F.col("__rows").isNull())
-    alike = rows.filter(F.col("__rows").isNotNull()).dropDuplicates(["__h"])
-    return alone.unionByName(alike).select(*docs.columns)
+    keys = keep(found.groupBy(F.col("h").alias("__h")).agg(F.count(F.lit(1)).alias("__rows")))
+    gone = keep(keys.join(stay, "__h", "left_anti").select("__h"))
+    again = keep(keys.filter(F.col("__rows") > 1).join(stay, "__h", "left_semi").select("__h"))
+    # few go and fewer still are alike: mostly the texts stay where they are
+    rows = docs.withColumn("__h", F.xxhash64("doc_id", "text")).join(within(gone), "__h", "left_anti")
+    alone, alike = rows.join(within(again), "__h", "left_anti"), rows.join(within(again), "__h", "left_semi")
+    return alone.unionByName(alike.dropDuplicates(["__h"])).select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
