@@ -7,6 +7,8 @@ Names whose predecessors are decided are decided together, level by level; chain
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -65,9 +67,14 @@ def merge_edges(keys: DataFrame, owners: DataFrame) -> DataFrame:
 
 
 def checkpoint_dir(df: DataFrame) -> None:
-    """Sets a folder for checkpoints only where the session has none."""
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and df.sparkSession.sparkContext.getCheckpointDir() is None:
-        df.sparkSession.sparkContext.setCheckpointDir("/tmp/quillgraph-checkpoints")
+    """Sets a local folder for checkpoints only where the session has none and all runs on one machine."""
+    context = df.sparkSession.sparkContext
+    named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if context.getCheckpointDir() is not None:
+        return
+    if not named and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    context.setCheckpointDir(named or f"{tempfile.gettempdir()}/quillgraph-checkpoints")
 
 
 def greedy_merge(keys: DataFrame, edges: DataFrame) -> DataFrame:
