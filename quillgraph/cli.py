@@ -9,7 +9,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from .operators import collect, gates, ingest, prompts, taxonomy
+from .operators import gates, taxonomy
 from .operators.project import Project, _load, find_root, write_json
 
 
@@ -22,14 +22,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> tuple[dict, int]:
         sources, segments = p.ingest()
         return {"sources": sources.count(), "segments": segments.count()}, 0
     if args.command == "pilot":
-        samples = ingest.stratified(p.read("segments"))
-        pilot = _load(p.path(args.response))
-        taxonomy.check_pilot_evidence(pilot, samples)
-        rows = [r.asDict() for r in samples.select("id", "ordinal", "title").orderBy("ordinal").collect()]
-        write_json(p.path(".quillgraph", "review", "taxonomy-pilot.json"), pilot)
-        write_json(p.path(".quillgraph", "review", "taxonomy-questions.json"), taxonomy.questions(pilot, rows))
-        write_json(p.path(".quillgraph", "review", "taxonomy-decisions.yml"), taxonomy.decision_draft(pilot))
-        return {"proposals": len(pilot["proposals"]), "segments": len(rows)}, 0
+        return p.pilot(args.response), 0
     if args.command == "onboard":
         pilot = _load(p.path(".quillgraph", "review", "taxonomy-pilot.json"))
         decisions = _load(p.path(args.decisions or ".quillgraph/review/taxonomy-decisions.yml"))
@@ -40,13 +33,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> tuple[dict, int]:
     if args.command == "extract":
         return {"extractions": p.extract(args.responses).count()}, 0
     if args.command == "prepare":
-        if args.stage == "pilot":
-            items = prompts.pilot_item(p.read("segments"), p.taxonomy, p.config.profile)
-        else:
-            taxonomy.require_lock(p.taxonomy, p.locked(), p.read("segments"))
-            items = collect.work_items(p.read("segments"), prompts.EXTRACTION, taxonomy.stable_json(p.taxonomy.value()))
-        items.write.mode("overwrite").parquet(p.table("work"))
-        return {"items": p.read("work").count(), "concurrency": p.config.concurrency}, 0
+        return p.prepare(args.stage), 0
     if args.command == "normalize":
         g = p.normalize()
         return {name: getattr(g, name).count() for name in g.__dataclass_fields__}, 0
@@ -67,7 +54,7 @@ def main(argv: list[str] | None = None) -> int:
     init.add_argument("--source", default="sources/story.md")
     init.add_argument("--profile", choices=taxonomy.PROFILES, default="novel")
     init.add_argument("--recordings")
-    commands.add_parser("pilot").add_argument("--response", required=True)
+    commands.add_parser("pilot").add_argument("--response")
     onboard = commands.add_parser("onboard")
     onboard.add_argument("--decisions")
     onboard.add_argument("--accept-recommended", action="store_true")

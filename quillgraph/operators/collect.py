@@ -28,6 +28,20 @@ def recorded(spark: SparkSession, path: str, key: str, schema: T.StructType = sc
     return rows.select(F.substring("key", len(key) + 2, 1 << 30).alias("name"), value).select("name", "v.*")
 
 
+def raw_in(spark: SparkSession, path: str) -> DataFrame:
+    """(name, response) of the same directory: the files' text as it is."""
+    rows = spark.read.option("wholetext", True).text(path).withColumn("file", F.col("_metadata.file_name"))
+    return rows.filter(F.col("file").endswith(".json")).select(F.regexp_replace("file", r"\.json$", "").alias("name"), F.col("value").alias("response"))
+
+
+def raw_recorded(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """(name, response) of the entries of a recordings file whose key begins with key and a colon; of key itself, name is empty."""
+    outer = T.StructType([T.StructField("responses", T.MapType(T.StringType(), T.VariantType()))])
+    rows = documents.read_json(spark, path, outer).select(F.explode("responses").alias("key", "value"))
+    rows = rows.filter((F.col("key") == key) | F.col("key").startswith(f"{key}:"))
+    return rows.select(F.substring("key", len(key) + 2, 1 << 30).alias("name"), F.to_json("value").alias("response"))
+
+
 def collect(segments: DataFrame, responses: DataFrame) -> DataFrame:
     """The extractions table in source order; every segment must have its response, others are ignored.
 

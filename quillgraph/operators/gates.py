@@ -1,4 +1,4 @@
-"""Verification gates. Each returns its failing details as a DataFrame (detail); report() folds them to rows."""
+"""Verification gates. Each returns its failing details as a DataFrame (detail); report() counts them."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import text as X
+from ..sources import documents
 from .graph import Graph, provenances
 from .taxonomy import Taxonomy
 
@@ -159,33 +160,46 @@ def broken_links(pages: DataFrame) -> DataFrame:
     return links.join(targets, "target", "left_anti").select(_say(F.col("path"), " -> ", F.col("target"))).distinct()
 
 
-def report(spark: SparkSession, gates: list[Gate]) -> DataFrame:
-    """(id, status, message, details) in the order of gates."""
+def review(issues: DataFrame) -> Gate:
+    """Errors block; without any, what is left to review only warns."""
+    errors = issues.filter("severity = 'error'").select(F.col("message").alias("detail"))
+    if not errors.isEmpty():
+        return Gate("review-queue", errors, "No review items are left", "Blocking issues")
+    reviews = issues.filter("severity = 'review'").select(F.col("message").alias("detail"))
+    return Gate("review-queue", reviews, "No review items are left", "Records need human review", "warning")
+
+
+def found(gates: list[Gate]) -> DataFrame:
+    """(id, detail) of everything that the gates found; a table, as any gate may find very much."""
+    return _all(*[g.details.select(F.lit(g.id).alias("id"), "detail") for g in gates])
+
+
+def report(spark: SparkSession, gates: list[Gate], details: DataFrame | None = None) -> DataFrame:
+    """(id, status, message, n) in the order of gates; n: how many details there are; details: found(), if it is written already."""
     ids = spark.createDataFrame([(i, g.id, g.passed, g.failed, g.status) for i, g in enumerate(gates)], "place int, id string, passed string, failed string, bad string")
-    found = _all(*[g.details.select(F.lit(g.id).alias("id"), "detail") for g in gates])
-    folded = found.groupBy("id").agg(F.array_sort(F.collect_list("detail")).alias("details"))
-    rows = ids.join(folded, "id", "left").withColumn("details", F.coalesce("details", F.array().cast("array<string>")))
-    fine = F.size("details") == 0
-    return rows.orderBy("place").select("id", F.when(fine, "pass").otherwise(F.col("bad")).alias("status"), F.when(fine, F.col("passed")).otherwise(F.col("failed")).alias("message"), "details")
+    counts = (found(gates) if details is None else details).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    rows = ids.join(counts, "id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    fine = F.col("n") == 0
+    return rows.orderBy("place").select("id", F.when(fine, "pass").otherwise(F.col("bad")).alias("status"), F.when(fine, F.col("passed")).otherwise(F.col("failed")).alias("message"), "n")
 
 
 def passes(report: DataFrame) -> bool:
     return bool(report.agg(F.coalesce(F.every(F.col("status") != "fail"), F.lit(True))).first()[0])
 
 
-def verify(segments: DataFrame, extractions: DataFrame, graph: Graph, taxonomy: Taxonomy, lock: dict | None, raw: DataFrame | None = None, pages: DataFrame | None = None, most: int | None = None) -> DataFrame:
-    """All gates in order. If values break the schema, only that gate is reported."""
+def checks(segments: DataFrame, extractions: DataFrame, graph: Graph, taxonomy: Taxonomy, lock: dict | None, raw: DataFrame | None = None, pages: DataFrame | None = None, most: int | None = None) -> list[Gate]:
+    """All gates in order; if values break the schema, that gate alone. raw: (name[, response]) of raw responses."""
     spark = segments.sparkSession
-    contract = Gate("schema-contract", constraint_violations({"segments": segments, "extractions": extractions, "entities": graph.entities, "claims": graph.claims, "relationships": graph.relationships, "passages": graph.passages, "issues": graph.issues}), "All artifacts follow their schemas", "Artifacts break their schemas")
-    first = report(spark, [contract])
-    if not passes(first):
-        return first
+    broken = constraint_violations({"segments": segments, "extractions": extractions, "entities": graph.entities, "claims": graph.claims, "relationships": graph.relationships, "passages": graph.passages, "issues": graph.issues})
+    if raw is not None and "response" in raw.columns:
+        wrong = documents.wrong_types(raw.select("name", F.col("response").alias("line")), schemas.EXTRACTIONS, "name")
+        broken = broken.unionByName(wrong.select(_say(F.col("name"), ": ", F.col("field"), " is ", F.col("found"))))
+    contract = Gate("schema-contract", broken, "All artifacts follow their schemas", "Artifacts break their schemas")
+    if not broken.isEmpty():
+        return [contract]
     lineage = provenances(graph)
     text = "detail string"
     locked = lock is not None and lock.get("taxonomyHash") == taxonomy.hash()
-    errors = graph.issues.filter("severity = 'error'").select(F.col("message").alias("detail"))
-    reviews = graph.issues.filter("severity = 'review'").select(F.col("message").alias("detail"))
-    blocked = not errors.isEmpty()
     gates = [
         contract,
         Gate("source-coverage", coverage(segments, extractions), "Exactly one extraction covers each segment", "Coverage is incomplete or duplicated"),
@@ -197,7 +211,7 @@ def verify(segments: DataFrame, extractions: DataFrame, graph: Graph, taxonomy:
         Gate("relationship-endpoints", endpoints(graph.entities, graph.relationships), "Every endpoint resolves", "Endpoints do not resolve"),
         Gate("provenance", provenance(segments, lineage), "Every record points to a segment", "Records have invalid provenance"),
         Gate("spoiler-boundary", spoilers(lineage, most), "No record exceeds the boundary", "Records exceed the boundary"),
-        Gate("review-queue", errors if blocked else reviews, "No review items are left", "Blocking issues" if blocked else "Records need human review", "fail" if blocked else "warning"),
+        review(graph.issues),
     ]
     if raw is not None:
         gates.append(Gate("raw-consumption", raw_difference(raw, segments), "Every raw response is consumed once", "Raw responses do not match the segments"))
@@ -205,4 +219,9 @@ def verify(segments: DataFrame, extractions: DataFrame, graph: Graph, taxonomy:
         gates.append(Gate("published-links", spark.createDataFrame([("nothing has been rendered yet",)], text), "", "Nothing has been rendered yet", "warning"))
     else:
         gates.append(Gate("published-links", broken_links(pages), "All wikilinks resolve", "Pages have broken wikilinks"))
-    return report(spark, gates)
+    return gates
+
+
+def verify(segments: DataFrame, *tables, **options) -> DataFrame:
+    """The report of all checks()."""
+    return report(segments.sparkSession, checks(segments, *tables, **options))

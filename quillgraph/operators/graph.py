@@ -5,12 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from . import identity as I
 from .collect import with_defaults
+from .ordering import numbered
 
 #: The mark of literal objects and the reason that merges give.
 LITERAL = "literal:"
@@ -79,7 +79,7 @@ def normalise(segments: DataFrame, extractions: DataFrame, unicode: bool = True)
     claims = own.select("sourceId", "segmentId", "ordinal", "locator", "entityId", F.posexplode("claims").alias("pos", "c"))
     claims = claims.select(X.stable_id("claim", F.col("entityId"), F.col("segmentId"), F.col("pos").cast("string"), F.col("c.text")).alias("id"), "entityId", F.col("c.text").alias("text"), F.col("c.certainty").alias("certainty"), I.provenance(F.col("c.excerpt")).alias("provenance"))
     merged = own.filter(X.identity(F.col("name"), unicode) != X.identity(F.col("canonicalName"), unicode))
-    merges = merged.select(F.col("entityId").alias("canonicalEntityId"), F.col("name").alias("mergedName"), F.lit(REASON).alias("reason"), F.lit(True).alias("automatic"))
+    merges = merged.select(F.col("entityId").alias("canonicalEntityId"), F.col("name").alias("mergedName"), F.lit(REASON).alias("reason"), F.lit(True).alias("automatic")).orderBy(I.collated(F.col("mergedName")), "canonicalEntityId")
 
     index = I.alias_index(entities, unicode).checkpoint()
     stated = relationships(placed, index, unicode)
@@ -103,9 +103,8 @@ def normalise(segments: DataFrame, extractions: DataFrame, unicode: bool = True)
     every = issues[0]
     for more in issues[1:]:
         every = every.unionByName(more)
-    # issues are reviewed by people: their numbering is one ordered pass over a short table
-    number = F.row_number().over(W.orderBy("phase", "at", "message"))
-    every = every.select(F.concat(F.lit("issue-"), number).alias("id"), "severity", "code", "message", "segmentId", "entityId")
+    every = numbered(every, "phase", "at", "message")
+    every = every.select(F.concat(F.lit("issue-"), F.col("number").cast("string")).alias("id"), "severity", "code", "message", "segmentId", "entityId")
     none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<variant>"))
     nodes = entities.select("id", "category", "canonicalName", "aliases", "summary", "salience", "certainty", "firstSeen", "mentions", F.coalesce("attributes", none).alias("attributes"))
     return Graph(nodes, claims, edges, quotes, questions, merges, every)

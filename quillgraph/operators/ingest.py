@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..sources import documents
+from .ordering import numbered
 
 
 def scoped(drafts: DataFrame, start: int = 1, most: int | None = None, source: str = "sourceId", pos: str = "pos") -> DataFrame:
@@ -44,8 +45,16 @@ def ingest(spark: SparkSession, sources: list[dict], root: str, start: int = 1,
 
 
 def stratified(segments: DataFrame, most: int = 6, by: tuple[str, ...] = ("sourceId", "ordinal"), within: tuple[str, ...] = ()) -> DataFrame:
-    """Up to most rows spread evenly over the order: those at round(i * (n - 1) / (most - 1))."""
-    group = W.partitionBy(*within) if within else W.partitionBy(F.lit(0))
+    """Up to most rows spread evenly over the order: those at round(i * (n - 1) / (most - 1)).
+
+    Over a whole table only the keys are numbered, and the few that are wanted pick their rows."""
+    if not within:
+        keys = numbered(segments.select(*by), *by)
+        n = keys.count()
+        wanted = range(n) if n <= most else {int(i * (n - 1) / (most - 1) + 0.5) for i in range(most)}
+        keys = keys.filter(F.col("number").isin([k + 1 for k in wanted])).drop("number")  # at most `most` rows
+        return segments.join(F.broadcast(keys), list(by), "left_semi")
+    group = W.partitionBy(*within)
     rows = segments.withColumn("__at", F.row_number().over(group.orderBy(*by)) - 1).withColumn("__n", F.count(F.lit(1)).over(group))
     # halves round up, as they do everywhere in this engine
     wanted = F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda i: F.floor(i * (F.col("__n") - 1) / (most - 1) + 0.5).cast("int"))

@@ -5,14 +5,17 @@ from __future__ import annotations
 import json
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas
 from ..sources import documents
-from . import collect, gates, graph, ingest, render
+from . import collect, gates, graph, ingest, prompts, render, taxonomy
 from .taxonomy import Taxonomy, require_lock
 
 try:
@@ -21,6 +24,9 @@ except ImportError:  # configuration may then be JSON, which is YAML too
     yaml = None
 
 CONFIG, TAXONOMY, LOCK = "project.yml", "taxonomy.yml", "taxonomy.lock.json"
+REVIEW = (".quillgraph", "review")
+#: Details of a gate that the report file lists; the table of details always has all.
+LISTED = 1000
 
 
 def _load(path: str) -> dict:
@@ -86,6 +92,7 @@ class Run:
     startedAt: str = field(default_factory=lambda: datetime.now(UTC).isoformat())
     completedAt: str | None = None
     outputHashes: dict = field(default_factory=dict)
+    promptVersions: dict = field(default_factory=dict)
     error: str | None = None
 
     def finish(self, hashes: dict | None = None, error: Exception | None = None) -> Run:
@@ -134,38 +141,91 @@ class Project:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.table(name))
 
-    def record(self, run: Run) -> None:
-        write_json(self.path(".quillgraph", "runs", f"{run.runId}.json"), asdict(run))
+    def write(self, name: str, rows: DataFrame) -> None:
+        rows.write.mode("overwrite").parquet(self.table(name))
+
+    def fingerprint(self, name: str) -> str:
+        """A hash of a table's rows that does not depend on their order."""
+        rows = self.read(name).select(F.xxhash64(F.to_json(F.struct("*"))).alias("h"))
+        n, mixed, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor("h"), F.lit(0)), F.coalesce(F.sum(F.col("h").bitwiseAND(0xFFFFFFFF)), F.lit(0))).first()
+        return f"{n}-{mixed & (1 << 64) - 1:016x}-{total:x}"
+
+    @contextmanager
+    def stage(self, name: str, inputs: tuple[str, ...], outputs: tuple[str, ...], **prompts: str) -> Iterator[None]:
+        """Records a run of a stage, failed ones too, with what it has read and written."""
+        there = lambda names: {n: self.fingerprint(n) for n in names if os.path.exists(self.table(n))}
+        run = Run(name, self.taxonomy.hash(), there(inputs), promptVersions=prompts)
+        try:
+            yield
+        except Exception as error:
+            run.finish(error=error)
+            raise
+        else:
+            run.finish(there(outputs))
+        finally:
+            write_json(self.path(".quillgraph", "runs", f"{run.runId}.json"), asdict(run))
 
     def ingest(self) -> tuple[DataFrame, DataFrame]:
-        sources, segments = ingest.ingest(self.spark, self.config.sources, self.root, self.config.startSegment, self.config.maxSegment)
-        sources.write.mode("overwrite").parquet(self.table("sources"))
-        segments.write.mode("overwrite").parquet(self.table("segments"))
+        with self.stage("ingest", (), ("sources", "segments")):
+            sources, segments = ingest.ingest(self.spark, self.config.sources, self.root, self.config.startSegment, self.config.maxSegment)
+            self.write("sources", sources)
+            self.write("segments", segments)
         return self.read("sources"), self.read("segments")
 
+    def pilot(self, response: str | None = None) -> dict:
+        """Takes a pilot's answer, a file or else the recordings' entry, and writes what is to be decided."""
+        with self.stage("pilot", ("segments",), (), pilot=prompts.VERSION):
+            samples = ingest.stratified(self.read("segments"))
+            if response:
+                answer = _load(self.path(response))
+            elif self.config.recordings:
+                told = collect.raw_recorded(self.spark, self.path(self.config.recordings), "pilot").filter("name = ''").first()
+                if told is None:
+                    raise collect.CollectError("the recordings have no pilot")
+                answer = json.loads(told.response)
+            else:
+                raise collect.CollectError("there is neither a response nor a recording of the pilot")
+            taxonomy.check_pilot_evidence(answer, samples)
+            rows = [r.asDict() for r in samples.select("id", "ordinal", "title").orderBy("ordinal").collect()]
+            write_json(self.path(*REVIEW, "taxonomy-pilot.json"), answer)
+            write_json(self.path(*REVIEW, "taxonomy-questions.json"), taxonomy.questions(answer, rows))
+            write_json(self.path(*REVIEW, "taxonomy-decisions.yml"), taxonomy.decision_draft(answer))
+        return {"proposals": len(answer["proposals"]), "segments": len(rows)}
+
+    def prepare(self, stage: str) -> dict:
+        """Writes the work items of a stage as files and empties the folder that its responses go to."""
+        if stage == "pilot":
+            items = prompts.pilot_item(self.read("segments"), self.taxonomy, self.config.profile, directory=stage)
+        else:
+            require_lock(self.taxonomy, self.locked(), self.read("segments"))
+            items = collect.work_items(self.read("segments"), prompts.EXTRACTION, taxonomy.stable_json(self.taxonomy.value()), stage)
+        for folder in ("work", "responses"):
+            os.makedirs(self.path(".quillgraph", folder, stage), exist_ok=True)
+            render.empty(self.path(".quillgraph", folder, stage))
+        written = render.write_pages(items, self.path(".quillgraph", "work"), clear=False)
+        return {"items": written, "work": self.path(".quillgraph", "work", stage), "responses": self.path(".quillgraph", "responses", stage), "concurrency": self.config.concurrency}
+
     def extract(self, responses: str | None = None) -> DataFrame:
-        run = Run("extract", self.taxonomy.hash())
-        try:
+        with self.stage("extract", ("segments",), ("extractions", "raw"), extraction=prompts.VERSION):
             segments = self.read("segments")
             require_lock(self.taxonomy, self.locked(), segments)
             if responses:
-                given = collect.responses_in(self.spark, responses)
+                given, raw = collect.responses_in(self.spark, responses), collect.raw_in(self.spark, responses)
             elif self.config.recordings:
-                given = collect.recorded(self.spark, self.path(self.config.recordings), "extract")
+                path = self.path(self.config.recordings)
+                given, raw = collect.recorded(self.spark, path, "extract"), collect.raw_recorded(self.spark, path, "extract")
             else:
                 raise collect.CollectError("there are neither responses nor recordings")
-            collect.collect(segments, given).write.mode("overwrite").parquet(self.table("extractions"))
-            segments.select("id").write.mode("overwrite").parquet(self.table("raw"))
-        except Exception as error:
-            self.record(run.finish(error=error))
-            raise
-        self.record(run.finish())
+            self.write("extractions", collect.collect(segments, given))
+            self.write("raw", raw.join(segments.select(F.col("id").alias("name")), "name", "left_semi"))
         return self.read("extractions")
 
     def normalize(self) -> graph.Graph:
-        g = graph.normalise(self.read("segments"), self.read("extractions"))
-        for name in graph.Graph.__dataclass_fields__:
-            getattr(g, name).write.mode("overwrite").parquet(self.table(name))
+        names = tuple(graph.Graph.__dataclass_fields__)
+        with self.stage("normalize", ("segments", "extractions"), names):
+            g = graph.normalise(self.read("segments"), self.read("extractions"))
+            for name in names:
+                self.write(name, getattr(g, name))
         return self.graph()
 
     def graph(self) -> graph.Graph:
@@ -173,20 +233,27 @@ class Project:
 
     def render(self) -> tuple[int, str]:
         c = self.config
-        pages = render.render(self.read("segments"), self.read("extractions"), self.graph(), self.taxonomy, c.title, c.includeExcerpts, c.maxExcerptCharacters)
-        pages.write.mode("overwrite").parquet(self.table("pages"))
-        render.write_pages(self.read("pages"), self.path(c.output["obsidian"]))
-        files, value = render.digest(self.read("pages"))
-        write_json(self.path(".quillgraph", "render-manifest.json"), {"schemaVersion": 1, "files": files, "hash": value})
+        with self.stage("render", ("segments", "extractions", *graph.Graph.__dataclass_fields__), ("pages",)):
+            self.write("pages", render.render(self.read("segments"), self.read("extractions"), self.graph(), self.taxonomy, c.title, c.includeExcerpts, c.maxExcerptCharacters))
+            render.write_pages(self.read("pages"), self.path(c.output["obsidian"]))
+            files, value = render.digest(self.read("pages"))
+            write_json(self.path(".quillgraph", "render-manifest.json"), {"schemaVersion": 1, "files": files, "hash": value})
         return files, value
 
     def verify(self) -> DataFrame:
-        raw = self.read("raw").withColumnRenamed("id", "name")
-        pages = self.read("pages") if os.path.exists(self.table("pages")) else None
-        out = gates.verify(self.read("segments"), self.read("extractions"), self.graph(), self.taxonomy, self.locked(), raw, pages, self.config.maxSegment)
-        out.write.mode("overwrite").parquet(self.table("report"))
-        out = self.read("report")
-        write_json(self.path(".quillgraph", "verification-report.json"), {"generatedAt": datetime.now(UTC).isoformat(), "passed": gates.passes(out), "gates": [r.asDict(True) for r in out.collect()]})
+        """The report, written beside its details; the report file lists the details of gates that have few."""
+        with self.stage("verify", ("segments", "extractions", "raw"), ("report", "details")):
+            pages = self.read("pages") if os.path.exists(self.table("pages")) else None
+            listed = gates.checks(self.read("segments"), self.read("extractions"), self.graph(), self.taxonomy, self.locked(), self.read("raw"), pages, self.config.maxSegment)
+            self.write("details", gates.found(listed))
+            self.write("report", gates.report(self.spark, listed, self.read("details")))
+            out = self.read("report")
+            few = [r.id for r in out.collect() if 0 < r.n <= LISTED]
+            told: dict[str, list[str]] = {}
+            for r in self.read("details").filter(F.col("id").isin(few)).orderBy("id", "detail").collect():
+                told.setdefault(r.id, []).append(r.detail)
+            rows = [r.asDict() | {"details": told.get(r.id, []) if r.n <= LISTED else self.table("details")} for r in out.collect()]
+            write_json(self.path(".quillgraph", "verification-report.json"), {"generatedAt": datetime.now(UTC).isoformat(), "passed": gates.passes(out), "gates": rows})
         return out
 
     def build(self, responses: str | None = None) -> DataFrame:
@@ -200,4 +267,4 @@ class Project:
 def export(project: Project, directory: str) -> None:
     """The tables as one JSON object a line."""
     for name in ("segments", "extractions", "entities", "claims", "relationships", "passages", "questions", "merges", "issues"):
-        documents.write_json_lines(project.read(name), os.path.join(directory, f"{name}.jsonl"), *(["id"] if "id" in schemas.__dict__.get(name.upper()).names else []))
+        documents.write_json_lines(project.read(name), os.path.join(directory, f"{name}.jsonl"), *(["id"] if "id" in schemas.__dict__.get(name.upper()).names else ["mergedName"] if name == "merges" else []))

@@ -15,7 +15,7 @@ EXTRACTION = "Extract the entities, claims, relationships, passages and open que
 PILOT_REQUEST = "Profile: {{PROFILE}}\n\nTaxonomy: {{TAXONOMY}}\n\nSamples:\n\n{{SAMPLES}}"
 
 
-def pilot_item(segments: DataFrame, taxonomy: Taxonomy, profile: str, samples: int = 6) -> DataFrame:
+def pilot_item(segments: DataFrame, taxonomy: Taxonomy, profile: str, samples: int = 6, directory: str = "work") -> DataFrame:
     """(path, content): one work item over the sampled segments, long ones in thirds."""
     rows = ingest.stratified(segments, samples)
     one = F.concat(F.lit("--- "), "id", F.lit(" | "), "title", F.lit(" ---\n"), X.pilot_sample(F.col("text")))
@@ -23,4 +23,4 @@ def pilot_item(segments: DataFrame, taxonomy: Taxonomy, profile: str, samples: i
     request = X.fill_template(PILOT_REQUEST, {"PROFILE": profile, "TAXONOMY": stable_json(taxonomy.value())})
     before, _, after = request.partition("{{SAMPLES}}")
     content = F.concat(F.lit(f"# Taxonomy pilot work item\n\n## Instructions\n\n{PILOT}\n\n## Request\n\n{before}"), "samples", F.lit(f"{after}\n"))
-    return told.select(F.lit("work/taxonomy-pilot.md").alias("path"), content.alias("content"))
+    return told.select(F.lit(f"{directory}/taxonomy-pilot.md").alias("path"), content.alias("content"))

@@ -6,7 +6,9 @@ put in order inside the group. The disjunctive match of passages (speaker or lin
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,8 +16,12 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from .graph import Graph
 from .identity import collated
+from .ordering import numbered
 from .taxonomy import Taxonomy
 
+#: Lines of an index page at most.
+INDEX_LINES = 100_000
+
 
 def front_matter(*pairs: tuple[str, Column]) -> Column:
     """YAML lines of quoted strings, numbers and lists."""
@@ -83,8 +89,18 @@ def render(segments: DataFrame, extractions: DataFrame, graph: Graph, taxonomy:
     ]
 
     def index(rows: DataFrame, path: str, head: str, line: Column, *order: Column) -> DataFrame:
-        found = rows.agg(F.transform(F.array_sort(F.collect_list(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], line.alias("line")))), lambda x: x["line"]).alias("lines"))
-        return found.select(F.lit(path).alias("path"), page(front_matter(("title", quoted(F.lit(head))), ("type", F.lit("index"))), f"# {head}", "", F.array_join("lines", "\n")).alias("content"))
+        """One page; from INDEX_LINES lines on several, each of which names the next."""
+        stem = path.removesuffix(".md")
+        lines = numbered(rows.select(*[o.alias(f"o{i}") for i, o in enumerate(order)], line.alias("line")), *[f"o{i}" for i in range(len(order))])
+        part = F.floor((F.col("number") - 1) / INDEX_LINES)
+        found = lines.groupBy(part.alias("part")).agg(F.array_sort(F.collect_list(F.struct("number", "line"))).alias("all"))
+        if not found.filter("part = 0").count():
+            found = spark.createDataFrame([(0, [])], found.schema)
+        last = found.agg(F.max("part")).first()[0]
+        name = lambda k: F.when(k == 0, F.lit(stem)).otherwise(F.concat(F.lit(f"{stem}-"), (k + 1).cast("string")))
+        more = F.when(F.col("part") < last, F.concat(F.lit("\n- "), link(name(F.col("part") + 1), F.lit(f"{head}, continued")))).otherwise("")
+        text = F.concat(F.array_join(F.transform("all", lambda x: x["line"]), "\n"), more)
+        return found.select(F.concat(name(F.col("part")), F.lit(".md")).alias("path"), page(front_matter(("title", quoted(F.lit(head))), ("type", F.lit("index"))), f"# {head}", "", text).alias("content"))
 
     pages.append(index(where, "Chapters/index.md", "Reading order", F.concat(F.lit("- "), link(F.col("chapter"), F.concat(F.col("ordinal").cast("string"), F.lit(". "), F.col("title")))), F.col("sourceId"), F.col("ordinal")))
 
@@ -119,9 +135,11 @@ def render(segments: DataFrame, extractions: DataFrame, graph: Graph, taxonomy:
 
     # the entity index by category, in the taxonomy's order; empty categories are left out
     categories = F.broadcast(taxonomy.tables(spark)[0])
-    per = names.join(graph.entities.select("id", "category"), "id").join(categories, "category").groupBy("place", "plural").agg(F.array_sort(F.collect_list(F.struct(collated(F.col("id")).alias("o"), F.concat(F.lit("- "), link(F.col("path"), F.col("canonicalName"))).alias("line")))).alias("items"))
-    part = per.select("place", F.concat(F.lit("## "), "plural", F.lit("\n\n"), F.array_join(F.transform("items", lambda x: x["line"]), "\n"), F.lit("\n")).alias("part"))
-    pages.append(index(part, "Entities.md", "Entity index", F.col("part"), F.col("place")))
+    per = names.join(graph.entities.select("id", "category"), "id").join(categories, "category")
+    part = per.select("place", F.lit(1).alias("row"), "id", F.concat(F.lit("- "), link(F.col("path"), F.col("canonicalName"))).alias("line"))
+    some = per.select("place", "plural").distinct()
+    part = part.unionByName(some.select("place", F.lit(0).alias("row"), F.lit("").alias("id"), F.concat(F.lit("## "), "plural", F.lit("\n")).alias("line"))).unionByName(some.select("place", F.lit(2).alias("row"), F.lit("").alias("id"), F.lit("").alias("line")))
+    pages.append(index(part, "Entities.md", "Entity index", F.col("line"), F.col("place"), F.col("row"), collated(F.col("id"))))
 
     # passages
     pages.append(index(graph.passages, "Passages/index.md", "Passage index", F.concat(F.lit("- "), link(X.passage_path(F.col("title"), F.col("id")), F.col("title"))), collated(F.col("id"))))
@@ -140,22 +158,35 @@ def render(segments: DataFrame, extractions: DataFrame, graph: Graph, taxonomy:
 
 
 def digest(pages: DataFrame) -> tuple[int, str]:
-    """(files, hash) of pages by path: each page is hashed where it is, only the hashes are put together."""
-    rows = pages.select("path", X.sha256(F.col("content")).alias("h")).agg(F.count(F.lit(1)), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path", "h"))), lambda x: F.concat(x["path"], F.lit("\x00"), x["h"])), "\x00"), 256))
-    return tuple(rows.first())
+    """(files, hash) of pages: each page is hashed where it is, the hashes in 4096 buckets by path, then the buckets'."""
+    put = lambda key, value: F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, value))), lambda x: F.concat(x[key], F.lit("\x00"), x[value])), "\x00"), 256)
+    rows = pages.select("path", X.sha256(F.col("content")).alias("h"), F.substring(X.sha256(F.col("path")), 1, 3).alias("b"))
+    rows = rows.groupBy("b").agg(F.count(F.lit(1)).alias("n"), put("path", "h").alias("h"))
+    return tuple(rows.agg(F.coalesce(F.sum("n"), F.lit(0)), put("b", "h")).first())
 
 
-def write_pages(pages: DataFrame, root: str) -> int:
-    """Writes pages as files under root, a folder that all workers share, after emptying it; streams through the driver."""
+def empty(root: str) -> None:
+    """Removes all files under a folder."""
     for folder, _, files in os.walk(root, topdown=False):
         for name in files:
             os.remove(os.path.join(folder, name))
-    n = 0
-    for row in pages.toLocalIterator():
-        path = os.path.join(root, row.path)
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        with open(path, "w", encoding="utf-8") as f:
-            f.write(row.content)
-        n += 1
-    return n
+
+
+def write_pages(pages: DataFrame, root: str, clear: bool = True) -> int:
+    """Writes pages as files under root, a folder that the driver and all workers share, after emptying it.
+
+    Each partition writes its own; a task that runs again writes the same files again."""
+    if clear:
+        empty(root)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                path = os.path.join(root, name)
+                os.makedirs(os.path.dirname(path), exist_ok=True)
+                with open(path, "w", encoding="utf-8") as f:
+                    f.write(content)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    return pages.select("path", "content").mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 

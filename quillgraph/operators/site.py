@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import os
+import shutil
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -50,6 +53,24 @@ def sync_plan(source: DataFrame, target: DataFrame) -> DataFrame:
     return copies.unionByName(stale)
 
 
+def _files(root: str) -> dict[str, str]:
+    return {os.path.relpath(os.path.join(d, n), root).replace(os.sep, "/"): os.path.join(d, n) for d, _, names in os.walk(root) for n in names}
+
+
+def publish(spark: SparkSession, source: str, target: str) -> int:
+    """Makes target hold what source holds, by sync_plan's steps: a page never refers to files that are not there. Both are folders of the driver."""
+    table = lambda root: spark.createDataFrame([(p,) for p in _files(root)], "path string")
+    plan = sync_plan(table(source), table(target)).orderBy("step", "path").collect()  # the files that a site has
+    for row in plan:
+        to = os.path.join(target, row.path)
+        if row.action == "copy":
+            os.makedirs(os.path.dirname(to) or ".", exist_ok=True)
+            shutil.copyfile(os.path.join(source, row.path), to)
+        else:
+            os.remove(to)
+    return len(plan)
+
+
 def preview_folder(root: str, base_url: str) -> str:
     path = base_url.partition("/")[2].strip("/")
     return f"{root}/{path}" if path else root

@@ -12,21 +12,9 @@ from ..functions import text as X
 from ..operators import gates, graph, identity, ingest, render, site
 from ..operators.taxonomy import Taxonomy
 from . import adapters as A
+from . import narrative
 from .adapters import table
-
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        _QUERIES[f.__name__] = f
-        if sql:
-            _ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
+from .registry import ORACLES, QUERIES, query
 
 def _str(name: str):
     return F.col(name).cast("string")
@@ -131,11 +119,6 @@ def _grouped(spark, sf_dir):
     return m.withColumn("seq", F.row_number().over(W.partitionBy("group").orderBy("ordinal")))
 
 
-@query(f"WITH {_MENTIONS} SELECT category || ':' || lower(name) AS key, count(*) AS n FROM m GROUP BY 1")
-def group_mentions(spark, sf_dir):
-    return _mentions(spark, sf_dir).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query(f"""WITH {_MENTIONS}, g AS (SELECT *, category || ':' || lower(name) AS key, row_number() OVER (PARTITION BY category || ':' || lower(name) ORDER BY k) AS seq FROM m)
     SELECT key, min(category) AS category, arg_min(name, (CASE WHEN regexp_matches(name, '^[^a-zA-Z]*[A-Z]') THEN 0 ELSE 1 END, name, seq)) AS canonical_name,
     arg_max(summary, (length(summary), -seq)) AS summary, ['reference', 'supporting', 'primary'][max(sal) + 1] AS salience, ['unresolved', 'inferred', 'explicit'][max(cer) + 1] AS certainty,
@@ -175,14 +158,6 @@ def alias_collisions(spark, sf_dir):
     return index.filter(F.size("owners") > 1).select(F.concat("name", F.lit(" maps to "), F.array_join("owners", ", ")).alias("detail"))
 
 
-@query("""SELECT * FROM (VALUES ('x:mara', 'x:mara'), ('x:mara venn', 'x:mara'), ('x:venn', 'x:venn'), ('y:m', 'y:m'), ('y:mara', 'y:mara'), ('y:mara venn', 'y:m'),
-    ('z:a', 'z:a'), ('z:b', 'z:a'), ('z:d', 'z:d'), ('x:other', 'x:other')) t(key, "group")""")
-def greedy_merge(spark, sf_dir):
-    rows = [("x", "Mara", []), ("x", "Mara Venn", ["Mara", "Venn"]), ("x", "Venn", []), ("y", "M", []), ("y", "Mara", []), ("y", "Mara Venn", ["M", "Mara"]), ("z", "A", []), ("z", "B", ["A"]), ("z", "D", ["B"]), ("x", "Other", ["Nobody"])]
-    m = spark.createDataFrame(rows, "category string, name string, aliases array<string>").withColumn("key", F.concat_ws(":", "category", X.identity(F.col("name"), unicode=False)))
-    return identity.greedy_merge(m, identity.merge_edges(m, identity.alias_owners(m, unicode=False)))
-
-
 @query(f"""WITH {_INDEX}, one AS (SELECT name, owners[1] AS id FROM idx WHERE len(owners) = 1),
     r AS (SELECT n_name AS subject, CASE WHEN n_nationkey % 5 = 0 THEN 'literal: ' || r_name WHEN n_nationkey % 5 = 1 THEN 'zone ' || n_nationkey ELSE r_name END AS object FROM nation JOIN region ON n_regionkey = r_regionkey)
     SELECT subject, object, s.id AS subject_id, CASE WHEN object LIKE 'literal:%' THEN NULL ELSE o.id END AS object_id, CASE WHEN object LIKE 'literal:%' THEN trim(substr(object, 9)) END AS literal_object
@@ -280,13 +255,6 @@ def spoiler_boundary(spark, sf_dir):
     return gates.spoilers(table(spark, sf_dir, "conversations").select(_str("conv_id").alias("segmentId"), (F.col("turn") + 1).alias("segmentOrdinal")), 4)
 
 
-@query("SELECT CASE WHEN toxic = 1 THEN 'error' WHEN quality = 0 THEN 'review' ELSE 'none' END AS severity, count(*) AS n, CASE WHEN count(*) FILTER (WHERE toxic = 1) > 0 THEN 'fail' WHEN count(*) FILTER (WHERE quality = 0) > 0 THEN 'warning' ELSE 'pass' END AS status FROM labels GROUP BY 1")
-def review_queue(spark, sf_dir):
-    severity = F.when(F.col("toxic") == 1, "error").when(F.col("quality") == 0, "review").otherwise("none")
-    counts = table(spark, sf_dir, "labels").groupBy(severity.alias("severity")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.select("severity", "n", F.when(F.col("severity") == "error", "fail").when(F.col("severity") == "review", "warning").otherwise("pass").alias("status"))
-
-
 @query("SELECT CASE WHEN l.doc_id IS NULL THEN 'Missing ' || d.doc_id ELSE 'Unexpected ' || l.doc_id END AS detail FROM (SELECT DISTINCT doc_id FROM labels) l FULL OUTER JOIN documents d ON l.doc_id = d.doc_id WHERE l.doc_id IS NULL OR d.doc_id IS NULL")
 def raw_consumption(spark, sf_dir):
     names = table(spark, sf_dir, "labels").select(_str("doc_id").alias("name"))
@@ -308,7 +276,7 @@ def gate_report(spark, sf_dir):
         gates.Gate("spoiler-boundary", gates.spoilers(chats, 4), "", ""),
         gates.Gate("review-queue", labels.filter("quality = 0").select(_str("doc_id").alias("detail")), "", "", "warning"),
     ]
-    return gates.report(spark, listed).select("id", "status", F.size("details").cast("long").alias("n_details"))
+    return gates.report(spark, listed).select("id", "status", F.col("n").alias("n_details"))
 
 
 # ---------------------------------------------------------------- pilot
@@ -370,7 +338,8 @@ def render_index(spark, sf_dir):
     return _index_pages(spark, sf_dir)
 
 
-@query(f"WITH {_INDEX_PAGES} SELECT count(*) AS files, sha256(string_agg(path || chr(0) || sha256(content), chr(0) ORDER BY path)) AS hash FROM pages_")
+@query(f"""WITH {_INDEX_PAGES}, buckets AS (SELECT substr(sha256(path), 1, 3) AS b, count(*) AS n, sha256(string_agg(path || chr(0) || sha256(content), chr(0) ORDER BY path)) AS h FROM pages_ GROUP BY 1)
+    SELECT CAST(sum(n) AS BIGINT) AS files, sha256(string_agg(b || chr(0) || h, chr(0) ORDER BY b)) AS hash FROM buckets""")
 def render_digest(spark, sf_dir):
     files, value = render.digest(_index_pages(spark, sf_dir))
     return spark.createDataFrame([(files, value)], "files long, hash string")
@@ -419,8 +388,8 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return dict(ORACLES)

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from quillgraph.operators import collect, gates, ingest, site
 from quillgraph.operators import graph as G
 from quillgraph.operators.project import Config, Project, find_root
 from quillgraph.operators.taxonomy import Taxonomy, TaxonomyError, decision_draft, onboard
+from quillgraph.sources import documents
 
 STORY = "# Lamps\n\n## One: The Pier\n\nAnna Lind lit the green lamp on the pier. The harbour office kept a ledger of lamps.\n\n## Two: The Ledger\n\nLind signed the ledger at night. The lamp was out, and the office was closed.\n"
 
@@ -75,9 +77,41 @@ def test_gates(project):
     assert list(found) == ["schema-contract", "source-coverage", "source-order", "taxonomy-lock", "taxonomy-conformance", "evidence-exactness", "identity", "relationship-endpoints", "provenance", "spoiler-boundary", "review-queue", "raw-consumption", "published-links"]
 
 
+def test_report_and_runs(project):
+    project.render()
+    out = {r.id: r.n for r in project.verify().collect()}
+    told = json.load(open(project.path(".quillgraph", "verification-report.json")))
+    assert {g["id"]: len(g["details"]) for g in told["gates"]} == out and not told["passed"]
+    assert out["identity"] == project.read("details").filter("id = 'identity'").count() > 0
+    runs = [json.load(open(os.path.join(project.path(".quillgraph", "runs"), n))) for n in os.listdir(project.path(".quillgraph", "runs"))]
+    extract = [r for r in runs if r["stage"] == "extract" and r["status"] == "completed"]
+    assert {r["stage"] for r in runs} >= {"ingest", "extract", "normalize", "render", "verify"}
+    assert set(extract[0]["inputHashes"]) == {"segments"} and set(extract[0]["outputHashes"]) == {"extractions", "raw"} and extract[0]["promptVersions"] == {"extraction": "1"}
+    with pytest.raises(Exception):
+        project.extract(project.path("nothing"))
+    assert any(json.load(open(os.path.join(project.path(".quillgraph", "runs"), n)))["status"] == "failed" for n in os.listdir(project.path(".quillgraph", "runs")))
+
+
+def test_pilot_from_recordings_and_work_folders(project, tmp_path):
+    s = project.read("segments").orderBy("ordinal").collect()
+    lamp = {"id": "lamp", "labels": {"singular": "Lamp", "plural": "lamps"}, "definition": "d", "examples": [{"segmentId": s[0].id, "evidence": "green lamp"}, {"segmentId": s[1].id, "evidence": "The lamp was out"}], "recommendedAs": "category"}
+    with pytest.raises(collect.CollectError):
+        project.pilot()
+    with open(project.path("recordings.json"), "w") as f:
+        json.dump({"schemaVersion": 1, "responses": {"pilot": {"proposals": [lamp]}}}, f)
+    project.config.recordings = "recordings.json"
+    assert project.pilot() == {"proposals": 1, "segments": 2}
+    project.config.recordings = None
+    os.makedirs(project.path(".quillgraph", "responses", "extraction"), exist_ok=True)
+    open(project.path(".quillgraph", "responses", "extraction", "stale.json"), "w").close()
+    found = project.prepare("extraction")
+    assert found["items"] == 2 and sorted(os.listdir(found["work"])) == sorted(f"{r.id}.md" for r in s) and os.listdir(found["responses"]) == []
+    assert project.prepare("pilot")["items"] == 1
+
+
 def mutate(project, **change):
     g = project.graph()
-    given = {"segments": project.read("segments"), "extractions": project.read("extractions"), "graph": g, "taxonomy": project.taxonomy, "lock": project.locked(), "raw": project.read("raw").withColumnRenamed("id", "name")}
+    given = {"segments": project.read("segments"), "extractions": project.read("extractions"), "graph": g, "taxonomy": project.taxonomy, "lock": project.locked(), "raw": project.read("raw")}
     out = gates.verify(**(given | change))
     return {r.id for r in out.collect() if r.status == "fail"} - {"identity", "review-queue"}
 
@@ -95,9 +129,13 @@ def test_every_mutation_flips_its_gate(project):
     lost = F.col("provenance").withField("sourceId", F.lit("other"))
     assert mutate(project, graph=G.Graph(**(vars(g) | {"claims": g.claims.withColumn("provenance", lost)}))) == {"provenance"}
     assert mutate(project, most=1) == {"spoiler-boundary"}
-    assert mutate(project, raw=project.read("raw").withColumnRenamed("id", "name").limit(1)) == {"raw-consumption"}
+    assert mutate(project, raw=project.read("raw").limit(1)) == {"raw-consumption"}
     bad = g.entities.withColumn("certainty", F.lit("guessed"))
     assert mutate(project, graph=G.Graph(**(vars(g) | {"entities": bad}))) == {"schema-contract"}
+    typed = project.read("raw").withColumn("response", F.regexp_replace("response", '"summary": *"s"', '"summary": 7'))
+    assert mutate(project, raw=typed) == {"schema-contract"}
+    stale = project.read("raw").withColumn("name", F.concat("name", F.lit("-old")))
+    assert mutate(project, raw=stale) == {"raw-consumption"}
     pages = project.read("pages").withColumn("content", F.concat("content", F.lit("[[Nowhere]]")))
     assert mutate(project, pages=pages) == {"published-links"}
 
@@ -149,6 +187,22 @@ def test_stratified_sample(spark):
     assert ingest.stratified(s.limit(4)).count() == 4
 
 
+def test_numbers_over_many_partitions(spark):
+    from quillgraph.operators.ordering import numbered
+
+    rows = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("x"), F.col("id").alias("y")).repartition(9)
+    assert all(r.number == r.x + 1 for r in numbered(rows, "x").collect())
+    assert numbered(rows.limit(0), "x").count() == 0
+
+
+def test_long_indexes_are_several_pages(project, monkeypatch):
+    from quillgraph.operators import render
+
+    monkeypatch.setattr(render, "INDEX_LINES", 1)
+    pages = {r.path: r.content for r in render.render(project.read("segments"), project.read("extractions"), project.graph(), project.taxonomy, "Lamps").collect()}
+    assert "[[Chapters/index-2|Reading order, continued]]" in pages["Chapters/index.md"] and "One: The Pier" in pages["Chapters/index.md"] and "Two: The Ledger" in pages["Chapters/index-2.md"]
+
+
 def test_pilot_work_item(project):
     from quillgraph.operators import prompts
 
@@ -168,13 +222,19 @@ def test_pilot_evidence(project):
             check_pilot_evidence(bad, s)
 
 
-def test_site(spark):
+def test_site(spark, tmp_path):
     head = '<meta content="A &amp; B"><link href="/base/x.css"><script src="../js/y.js"></script>'
     files = spark.createDataFrame([("index.html", head.replace("../", "")), ("entities.html", head.replace("../", "")), ("p/q.html", head), ("x.css", ""), ("js/y.js", "")], "path string, content string")
     assert site.problems(files, "A & B", "/base").isEmpty()
     assert {r.detail for r in site.problems(files.filter("path <> 'x.css' and path <> 'entities.html'"), "A & B", "/base").collect()} == {"missing page entities.html", "index.html lacks /base/x.css", "p/q.html lacks /base/x.css"}
     plan = site.sync_plan(files, spark.createDataFrame([("old.html", ""), ("x.css", "")], "path string, content string"))
     assert [(r.path, r.action) for r in plan.orderBy("step").collect()][-1] == ("old.html", "delete")
+    for name, text in (("s/a.html", "new"), ("s/x/y.css", "c"), ("t/a.html", "old"), ("t/gone.html", ""), ("t/gone.css", "")):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text)
+    assert site.publish(spark, str(tmp_path / "s"), str(tmp_path / "t")) == 4
+    assert (tmp_path / "t/a.html").read_text() == "new" and [r.path for r in documents.listed(spark, str(tmp_path / "t")).collect()] == ["a.html", "x/y.css"]
+    assert documents.listed(spark, str(tmp_path / "none")).count() == 0
     assert site.preview_folder("r", "host.io/a/b/") == "r/a/b"
 
 
