@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import WINDOW, WORDS, anchors, piece_hash, prefix, word_anchors, word_sums
-from .common import SPACES, Words, drop, keep, slices, utf8
+from .common import FEW, SPACES, Words, drop, keep, slices, utf8
 from .suffixes import common_prefixes, suffix_array
 
 SHARD, MOST_CONTEXTS = 1_500_000, 6000
@@ -100,7 +100,11 @@ def _pieces(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     The piece of words is the fingerprints of its windows, eight bytes each."""
     cuts = wanted.groupBy("h").agg(F.collect_list(F.struct("fp", "context", "start", "windows", "size", "words", "shard")).alias("cuts"))
-    rows = docs.select("h", "text").join(cuts, "h").dropDuplicates(["h"])
+    keys = keep(wanted.select("h").distinct())
+    rows = docs.select("h", "text")
+    if keys.count() <= FEW:  # no other text is shuffled then
+        rows = rows.join(F.broadcast(keys), "h", "left_semi")
+    rows = rows.join(cuts, "h").dropDuplicates(["h"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,7 +237,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     several = marked.filter("kinds > 1")
     bulk = {r.words: r.size for r in several.groupBy("words").agg(F.sum(F.when(F.col("words"), 8 * F.col("windows")).otherwise(F.col("size") + 1)).alias("size")).collect()}
     # shards of bytes come before those of words
-    byte_shards, word_shards = (max(1, (bulk.get(k) or 0) // SHARD) for k in (False, True))
+    byte_shards, word_shards = (max(1, (bulk.get(k) or 0) // size) for k, size in ((False, SHARD), (True, SHARD // 8)))
     own = F.when(F.col("words"), byte_shards + F.pmod(F.xxhash64("fp"), F.lit(word_shards))).otherwise(F.pmod(F.xxhash64("fp"), F.lit(byte_shards)))
     several = several.withColumn("shard", F.when(F.col("kinds") <= MOST_CONTEXTS, own))
     pieces = keep(_pieces(docs, several.select("fp", "context", "h", "start", "windows", "size", "words", "shard")))
@@ -268,9 +272,15 @@ def remove(docs: DataFrame, with_text: bool = True) -> DataFrame:
     kept is binary: a removed run may begin inside a character."""
     names = [c for c in docs.columns if c not in ("kept", *_NAMES) and (with_text or c != "text")]
     keyed = docs.withColumn("__h", F.xxhash64("doc_id", "text"))
-    found = repeated(keyed.filter(F.length("text") > 0).select(F.col("__h").alias("h"), "text"))
-    # texts without a span are described where they are, without Python
-    joined = keyed.join(found.select(F.col("h").alias("__h"), F.col("spans").alias("__spans"), F.col("passages").alias("__passages")), "__h", "left")
+    found = keep(repeated(keyed.filter(F.length("text") > 0).select(F.col("__h").alias("h"), "text")).select(F.col("h").alias("__h"), F.col("spans").alias("__spans"), F.col("passages").alias("__passages")))
+    # texts without a span are described where they are, without Python; if few have any, the others are not shuffled
+    if found.count() <= FEW:
+        keys = F.broadcast(found.select("__h"))
+        touched = keyed.join(keys, "__h", "left_semi").join(found, "__h")
+        bare = keyed.join(keys, "__h", "left_anti").withColumns({"__spans": F.lit(None).cast(found.schema["__spans"].dataType), "__passages": F.lit(0).cast("long")})
+        joined = touched.unionByName(bare)
+    else:
+        joined = keyed.join(found, "__h", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
