@@ -160,6 +160,7 @@ class Reader:
 def _literals(r: Reader, codes: list[Prefix], n: int) -> np.ndarray | None:
     """All n pixels if every token is a literal, else None and the reader where it was."""
     green, red, blue, alpha = codes[:4]
+    copies = int(green.table.max()) >> 4 >= 256  # then there may be fewer tokens than pixels
     base = r.at >> 3
     raw = np.frombuffer(r.data, np.uint8)[base:]
     padded = np.concatenate([raw, np.zeros(8, np.uint8)])
@@ -189,6 +190,8 @@ def _literals(r: Reader, codes: list[Prefix], n: int) -> np.ndarray | None:
         add = out.append
         for _ in range((n + 3) >> 2):
             if p >= limit:
+                if copies:
+                    return None
                 raise ValueError("the stream ends early")
             add(p)
             p += hop[p]
@@ -198,6 +201,8 @@ def _literals(r: Reader, codes: list[Prefix], n: int) -> np.ndarray | None:
             walk[:, k] = walk[:, k - 1] + step[np.minimum(walk[:, k - 1], end)]
         walk = walk.ravel()[:n]
         if int(walk[-1]) >= limit:
+            if copies:
+                return None
             raise ValueError("the stream ends early")
     token = entry[walk]
     if (token >> 4 >= 256).any():
@@ -408,11 +413,19 @@ def frames(data: bytes) -> Iterator[bytes]:
 
 class Writer:
     def __init__(self):
-        self.value, self.n = 0, 0
+        self.done, self.value, self.held = bytearray(), 0, 0
+
+    @property
+    def n(self) -> int:
+        return 8 * len(self.done) + self.held
 
     def put(self, value: int, bits: int) -> None:
-        self.value |= value << self.n
-        self.n += bits
+        self.value |= value << self.held
+        self.held += bits
+        if self.held > 4096:  # whole bytes leave, so that the number stays small
+            k = self.held >> 3
+            self.done += (self.value & ((1 << 8 * k) - 1)).to_bytes(k, "little")
+            self.value, self.held = self.value >> 8 * k, self.held - 8 * k
 
     def code(self, lengths: list[int]) -> None:
         used = [i for i, n in enumerate(lengths) if n]
@@ -466,7 +479,7 @@ class Writer:
             self.put(extra, n)
 
     def bytes(self) -> bytes:
-        return self.value.to_bytes((self.n + 7) // 8, "little")
+        return bytes(self.done) + self.value.to_bytes((self.held + 7) // 8, "little")
 
 
 def riff(stream: bytes) -> bytes:
@@ -481,18 +494,130 @@ def header(w: Writer, width: int, height: int) -> None:
     w.put(0, 4)
 
 
+def _split(value: int) -> tuple[int, int, int]:
+    """The prefix of a length or a distance, and the number and value of its extra bits."""
+    value -= 1
+    if value < 4:
+        return value, 0, 0
+    high = value.bit_length() - 1
+    return 2 * high + (value >> (high - 1) & 1), high - 1, value & ((1 << (high - 1)) - 1)
+
+
+def _image(w: Writer, tokens: list[tuple[int, ...]], top: bool) -> None:
+    """An entropy-coded image of one group: pixels (alpha, red, green, blue) and copies (length, distance)."""
+    w.put(0, 1)  # no colour cache
+    if top:
+        w.put(0, 1)
+    parts: list[tuple[int, int, int, int]] = []  # code, symbol, number and value of extra bits
+    for t in tokens:
+        if len(t) == 4:
+            parts += [(0, t[2], 0, 0), (1, t[1], 0, 0), (2, t[3], 0, 0), (3, t[0], 0, 0)]
+        else:
+            length, distance = _split(t[0]), _split(t[1] + len(NEIGHBOURS))
+            parts += [(0, 256 + length[0], *length[1:]), (4, *distance)]
+    counts = [[0] * 280, [0] * 256, [0] * 256, [0] * 256, [0] * 40]
+    for code, symbol, _, _ in parts:
+        counts[code][symbol] += 1
+    lengths = [code_lengths(c) if any(c) else [1] + [0] * (len(c) - 1) for c in counts]
+    codes, alone = [canonical(n) for n in lengths], [sum(map(bool, n)) == 1 for n in lengths]
+    for n in lengths:
+        w.code(n)
+    for code, symbol, bits, extra in parts:
+        if not alone[code]:
+            w.put(codes[code][symbol], lengths[code][symbol])
+        w.put(extra, bits)
+
+
+def _packed(samples: np.ndarray, kinds: np.ndarray) -> bytes:
+    """Samples of at most 16 kinds as indices into a palette, several to a pixel."""
+    height, width = samples.shape
+    pack = 3 if len(kinds) <= 2 else 2 if len(kinds) <= 4 else 1
+    w = Writer()
+    header(w, width, height)
+    w.put(1, 1)
+    w.put(PALETTE, 2)
+    w.put(len(kinds) - 1, 8)
+    steps = np.diff(kinds, prepend=0).tolist()  # each colour as its difference to the one before
+    _image(w, [(0 if k else 255, v, v, v) for k, v in enumerate(steps)], False)
+    w.put(0, 1)
+    index = np.searchsorted(kinds, samples)
+    index = np.pad(index, ((0, 0), (0, -width % (1 << pack)))).reshape(height, -1, 1 << pack)
+    pixels = (index << ((8 >> pack) * np.arange(1 << pack))).sum(axis=2).ravel().tolist()
+    tokens: list[tuple[int, ...]] = []
+    i = 0
+    while i < len(pixels):  # runs of one pixel are copies of the one before
+        j = i + 1
+        while j < len(pixels) and pixels[j] == pixels[i] and j - i <= 4096:
+            j += 1
+        tokens.append((255, 0, pixels[i], 0))
+        if j - i > 1:
+            tokens.append((j - i - 1, 1))
+        i = j
+    _image(w, tokens, True)
+    return riff(w.bytes())
+
+
+#: Bytes that a copy is found by, the longest copy, the farthest one, and the bytes that a token has to stand for.
+_SEED, _LONGEST, _FARTHEST, _WORTH = 8, 4096, (1 << 20) - 128, 8
+
+
+def _repeats(data: bytes) -> list[int | tuple[int, int]] | None:
+    """Bytes and copies (length, distance) that spell data; None unless it mostly repeats itself."""
+    n = len(data)
+    spread = range(64, n - 16, max(64, n // 32))
+    if 2 * sum(data.find(data[i : i + 16], 0, i + 15) >= 0 for i in spread) <= len(spread):
+        return None
+    seen: dict[bytes, int] = {}
+    out: list[int | tuple[int, int]] = []
+    i = 0
+    while i < n:
+        if len(out) > n // _WORTH:
+            return None
+        seed = data[i : i + _SEED]
+        j = seen.get(seed, -1) if len(seed) == _SEED else -1
+        if j < 0 or i - j > _FARTHEST:
+            seen[seed] = i
+            out.append(data[i])
+            i += 1
+            continue
+        length, most = _SEED, min(_LONGEST, n - i)
+        while length + 64 <= most and data[j + length : j + length + 64] == data[i + length : i + length + 64]:
+            length += 64
+        while length < most and data[j + length] == data[i + length]:
+            length += 1
+        for k in range(i, min(i + length, n - _SEED), _SEED):
+            seen[data[k : k + _SEED]] = k
+        out.append((length, i - j))
+        i += length
+    return out
+
+
 def encode_grey(samples: np.ndarray) -> bytes:
-    """A (height, width) array of grey samples as one RIFF file: green literals under subtract-green."""
+    """A (height, width) array of grey samples as one RIFF file.
+
+    Few kinds of samples go by a palette, what mostly repeats itself by back-references, all else as literals;
+    the latter two under subtract-green."""
     height, width = samples.shape
     flat = samples.ravel()
+    counts = np.bincount(flat, minlength=280)
+    kinds = np.flatnonzero(counts)
+    if len(kinds) <= 16:
+        return _packed(samples, kinds)
     w = Writer()
+    if (tokens := _repeats(flat.tobytes())) is not None:
+        header(w, width, height)
+        w.put(1, 1)
+        w.put(SUBTRACT_GREEN, 2)
+        w.put(0, 1)
+        _image(w, [t if isinstance(t, tuple) else (255, 0, t, 0) for t in tokens], True)
+        return riff(w.bytes())
     header(w, width, height)
     w.put(1, 1)
     w.put(SUBTRACT_GREEN, 2)
     w.put(0, 1)  # no more transforms
     w.put(0, 1)  # no colour cache
     w.put(0, 1)  # one group
-    lengths = code_lengths(np.bincount(flat, minlength=280).tolist())
+    lengths = code_lengths(counts.tolist())
     w.code(lengths)
     for constant in (0, 0, 255, 0):
         w.code([int(i == constant) for i in range(256)])
