@@ -43,7 +43,7 @@ REGISTERS, MISSED = BANDS * ROWS, 5e-7
 #: SetSketch parameters: base, rate and the largest register value.
 B, A, Q = 1.001, 20.0, 65534
 PERCENT = 85
-SMALL, BLOCK, GROUP = 16, 256, 512
+SMALL, BLOCK, GROUP = 16, 256, 64
 _CHUNK = 1 << 20
 
 _RNG = np.random.default_rng(20)
