@@ -15,7 +15,8 @@ frequent n-grams are broadcast, at most MOST_GRAMS of them, and all others are j
 whole parts of UNIT.
 
 Defined results: null and empty texts hold only the end symbol; without training rows every byte is
-equally likely and the base score is 0; repeated rows get equal scores; other columns are ignored.
+equally likely and the base score is 0; repeated rows get equal scores; a text of any length is scored whole, its
+rare n-grams and words as rows of their own; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,7 +38,8 @@ ORDER, DISCOUNT = 5, 0.3
 MOST_GRAMS, HEAVY = 1 << 19, 1 << 17
 UNIT = 1 << 28
 BEFORE, END, SYMBOLS = 0xFE, 0xFF, 256  # neither occurs in UTF-8
-_CHUNK, _FLUSH, _STEP = 2 << 20, 400_000, 1 << 19
+#: Bytes of texts worked on at once, and words, n-grams and rows that a task holds before it lets go of them.
+_CHUNK, _FLUSH, _HELD, _STEP = 1 << 20, 200_000, 2_000_000, 1 << 18
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -87,9 +89,9 @@ def gram_counts(texts: DataFrame) -> DataFrame:
                 for i, j in slices(at, _CHUNK):
                     keys, n = np.unique(grams(data[at[i] : at[j]], at[i : j + 1] - at[i]), return_counts=True)
                     seen.append((keys, n, np.zeros_like(n)) if learn else (keys, np.zeros_like(n), n))
-                    if sum(len(x[0]) for x in seen) > 4_000_000:
+                    if sum(len(x[0]) for x in seen) > _HELD:
                         seen[:] = [merged()]
-                        if len(seen[0][0]) > 2_000_000:
+                        if len(seen[0][0]) > _HELD // 2:
                             yield rows(*seen.pop())
         if seen:
             yield rows(*merged())
