@@ -5,18 +5,20 @@ slots gives the set of languages that contain it. A document's hits are counted
 for the filter's false positives, and the largest corrected share decides.
 
 The filter is fitted on a bounded sample: about SAMPLE distinct texts of each language, chosen by a hash
-of the text, and the GRAMS most frequent n-grams of each; at most LANGUAGES languages, the most frequent.
+of the text, and the GRAMS most frequent n-grams of each; at most LANGUAGES languages, the most frequent, with a warning if there are more.
 An n-gram counts as one of a language only if its rate there is at least RATIO of its highest rate in any,
 so foreign quotations in a language's texts don't blur it.
 
 Defined results: null texts and texts without a letter are `und` with score 0, as is everything where
 nothing could be learned; a text whose n-grams are all unknown gets the language with most labels and
-score 0; ties go to the first language by name; repeated rows get equal results; columns that share the
+score 0; ties go to the first language by name; repeated rows get equal results; a text of any length counts with
+all its n-grams; columns that share the
 names of results are replaced, all others pass through.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -112,7 +114,10 @@ def _has_letter(column: pa.Array) -> np.ndarray:
 def fit(rows: DataFrame, sample: int = SAMPLE, keep_grams: int = GRAMS) -> Filter:
     """A filter from rows of (text, lang); rows whose text or lang is null teach nothing."""
     rows = rows.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES + 1).collect()
+    if len(counts) > LANGUAGES:
+        warnings.warn(f"only the {LANGUAGES} most frequent languages are learned; langid.LANGUAGES bounds the filter, in which eight take 1 << SLOT_BITS bytes", stacklevel=2)
+        counts = counts[:LANGUAGES]
     if not counts:
         return Filter([], [], np.zeros(0), 0)
     spark, top = rows.sparkSession, 1 << 30

@@ -10,7 +10,7 @@
 
 Defined results: null and empty texts have no spans; repeated rows each get their own result; matches of
 a rule are leftmost and don't overlap, those of different rules may; a match whose measured part is too
-short is dropped after matching; spans are ordered by start, then by the rule's place in the list;
+short is dropped after matching; a text of any length is scanned whole; spans are ordered by start, then by the rule's place in the list;
 other columns pass through unless they have the name of a result, which replaces them.
 """
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillgraph.llm import chats, graph, mixing, neardup, queries, repeats, suffixes, top_k
+from quillgraph.llm import chats, graph, mixing, neardup, pieces, queries, repeats, secrets, suffixes, top_k
 from quillgraph.llm.anchors import WINDOW
 
 # ---------------------------------------------------------------- near duplicates
@@ -417,6 +417,25 @@ def test_pipeline(spark, tmp_path, corpus):
             rows = [(r.doc_id, r.text) for r in before.collect()]
             kept = sorted((r.doc_id is None, r.doc_id or 0) for r in read.collect())
             assert kept == sorted({(c is None, c or 0) for _, _, c in linked_components(rows)})
+        if name == "secret_scan":
+            texts = Counter()
+            for r in before.collect():
+                text = r.text
+                for rule in secrets.RULES:
+                    text = re.sub(rule.pattern, lambda m, rule=rule: m[0][: len(m[0]) - len(m[rule.group])] + "[SECRET]" if len(m[rule.group]) >= rule.least else m[0], text)
+                texts[r.doc_id, text, r.lang, r.source, len(text)] += 1
+            assert Counter(map(tuple, read.collect())) == texts
+        if name == "mix":
+            given, taken = Counter(map(tuple, before.collect())), Counter(map(tuple, read.collect()))
+            assert all(0 < n <= 2 * given[row] for row, n in taken.items())
+            words = lambda rows, source: sum(n * len(row[1].encode().split()) for row, n in rows.items() if row[3] == source)  # noqa: B023, E731
+            sources = sorted({row[3] for row in given}, key=lambda s: (s is None, s or ""))
+            sizes = [words(given, s) for s in sources]
+            for s, target in zip(sources, filled(sizes, [(3, 1, 2)[i % 3] for i in range(len(sources))], 1.5, 2), strict=True):
+                assert abs(words(taken, s) - target) <= max(len(row[1].encode().split()) for row in given if row[3] == s)
+        if name == "encode":
+            v = pieces.Vocabulary.load()
+            assert Counter((r.doc_id, v.decode(r.ids) if r.ids else "") for r in read.collect()) == Counter((r.doc_id, r.text) for r in before.collect())
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == read.count()
     none = spark.createDataFrame([], docs.schema)
     none.write.parquet(f"{tmp_path}/empty/documents.parquet")

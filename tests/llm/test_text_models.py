@@ -39,6 +39,32 @@ def test_filter_returns_every_language_of_a_gram():
         assert hit[np.isin(g, members[name])].all() and hit[~np.isin(g, members[name])].mean() < 0.01
 
 
+def plain_grams(text):
+    """Runs of four bytes of the folded text between two spaces on either side."""
+    raw = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in (text or "").encode())
+    framed = b"  " + raw + b"  "
+    return [g for g in (framed[i : i + 4] for i in range(len(raw) + 1)) if g != b"    "]
+
+
+def test_shares_against_plain_sets():
+    rng = random.Random(12)
+    alphabet = ["ab", "ka", "ré", "ß", "ло", " ", " ", ", ", "7", "X"]
+    say = lambda n: "".join(rng.choice(alphabet) for _ in range(n))
+    sets_of = {f"l{k:02d}": {g for _ in range(30) for g in plain_grams(say(rng.randint(5, 60)))} for k in range(19)}
+    model = langid.Filter.build({k: np.asarray(sorted(int.from_bytes(g, "little") for g in v), np.uint32) for k, v in sets_of.items()}, "l00")
+    texts = [say(rng.randint(0, 80)) for _ in range(200)] + ["", " ", "a"]
+    raw = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    doc, g = langid.grams(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    found = model.shares(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    for i, t in enumerate(texts):
+        own = plain_grams(t)
+        assert sorted(int(x) for x in g[doc == i]) == sorted(int.from_bytes(x, "little") for x in own)
+        exact = [sum(x in sets_of[name] for x in own) / max(1, len(own)) for name in model.languages]
+        # a false positive can only add to a share, and is rare with as few members
+        assert np.abs(found[i] - exact).max() <= 0.02 + (2 / len(own) if own else 0)
+
+
 # ---------------------------------------------------------------- prediction by partial matching
 
 

@@ -28,6 +28,26 @@ def test_tables_round_trip(corpus, texts):
     assert grey[: rows.n_bytes, 0].tobytes().decode() == dict(texts)[160]
 
 
+def test_stored_payloads_use_what_fits_them():
+    rng = random.Random(5)
+    line = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ,.") for _ in range(300))
+    kinds = {"literal": [line * 2, "".join(chr(rng.randrange(32, 127)) for _ in range(9000)), "é💡ß" * 40 + line], "copies": [line * 60, (line[:100] + "X") * 400, line * 4000], "palette": ["", "a", "ab" * 5000, "0123456789abcde" * 90, "aaaabbbb" * 7, " " * 191 + "x"]}
+    for kind, payloads in kinds.items():
+        for t in payloads:
+            raw = webp.padded(np.frombuffer(t.encode(), np.uint8))
+            media = webp.store(raw)
+            assert webp.load(media).tobytes() == raw.tobytes()
+            stream = next(webp.frames(media))[20:]
+            transform = int.from_bytes(stream[5:6], "little") >> 1 & 3
+            assert (transform == webp.PALETTE) == (kind == "palette")
+            if kind != "literal" and len(raw) >= 5000:
+                assert len(media) < len(raw) / 4
+    for _ in range(200):
+        n = rng.randint(1, 2000)
+        raw = webp.padded(np.frombuffer(bytes(rng.choice([rng.randrange(256), 7, 7, 9]) for _ in range(n)) * rng.randint(1, 30), np.uint8))
+        assert webp.load(webp.store(raw)).tobytes() == raw.tobytes()
+
+
 def test_broken_media_is_null(spark):
     rows = spark.createDataFrame([(1, b"RIFFxxxx"), (2, None)], "id int, media binary")
     assert [r.pixels for r in webp.decode_media(rows).collect()] == [None, None]
