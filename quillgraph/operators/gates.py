@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from functools import reduce
 
@@ -83,21 +84,31 @@ def matches_type(value: Column, kind: Column) -> Column:
 
 
 def conformance(extractions: DataFrame, taxonomy: Taxonomy) -> DataFrame:
-    """Categories, attributes, passage kinds and predicates that the taxonomy lacks. The taxonomy is configuration, so it is broadcast."""
-    spark = extractions.sparkSession
-    categories, attributes, relations, kinds = (F.broadcast(t) for t in taxonomy.tables(spark))
-    e = extractions.select("segmentId", F.posexplode("entities").alias("pos", "e")).select("segmentId", "pos", "e.category", "e.attributes")
-    known = e.join(categories.select("category"), "category")
-    unknown = e.join(categories, "category", "left_anti").select(_say(F.col("segmentId"), ": category ", F.col("category")))
-    values = known.select("segmentId", "pos", "category", F.explode(F.from_json(F.to_json("attributes"), "map<string,variant>")).alias("attribute", "value"))
-    typed = values.join(attributes, ["category", "attribute"], "left")
-    name = [F.col("segmentId"), ": ", F.col("category"), ".", F.col("attribute")]
-    unlocked = typed.filter(F.col("type").isNull()).select(_say(*name, " is not locked"))
-    wrong = typed.filter(F.col("type").isNotNull() & ~matches_type(F.col("value"), F.col("type"))).select(_say(*name, " has the wrong type"))
-    needed = known.join(attributes.filter("required"), "category").join(values.select("segmentId", "pos", "attribute"), ["segmentId", "pos", "attribute"], "left_anti").select(_say(*name, " is required"))
-    p = extractions.select("segmentId", F.explode("passages.kind").alias("kind")).join(kinds, "kind", "left_anti").select(_say(F.col("segmentId"), ": passage kind ", F.col("kind")))
-    r = extractions.select("segmentId", F.explode("relationships.predicate").alias("predicate")).join(relations, "predicate", "left_anti").select(_say(F.col("segmentId"), ": relation ", F.col("predicate")))
-    return _all(unknown, unlocked, wrong, needed, p, r).distinct()
+    """Categories, attributes, passage kinds and predicates that the taxonomy lacks.
+
+    The taxonomy is configuration, so it is part of the expressions: one scan of the extractions, no join."""
+    literal = lambda value, kind: F.from_json(F.lit(json.dumps(value)), kind)
+    categories = literal([c["id"] for c in taxonomy.categories], "array<string>")
+    types = literal({f"{c['id']}\0{k}": a["type"] for c in taxonomy.categories for k, a in c.get("attributes", {}).items()}, "map<string,string>")
+    needed = literal({c["id"]: [k for k, a in c.get("attributes", {}).items() if a.get("required")] for c in taxonomy.categories}, "map<string,array<string>>")
+    relations = literal(sorted({*taxonomy.relationVocabulary, *(r for c in taxonomy.categories for r in c.get("relations", []))}), "array<string>")
+    kinds = literal(taxonomy.passageKinds, "array<string>")
+    inside = lambda values, c: F.coalesce(F.array_contains(values, c), F.lit(False))
+    say = lambda *parts: F.concat(F.col("segmentId"), *[F.lit(p) if isinstance(p, str) else F.coalesce(p, F.lit("")) for p in parts])
+
+    def entity(e: Column) -> Column:
+        values = F.from_json(F.to_json(e["attributes"]), "map<string,variant>")
+        kind = lambda x: F.try_element_at(types, F.concat(e["category"], F.lit("\0"), x["key"]))
+        value = lambda x: F.when(kind(x).isNull(), say(": ", e["category"], ".", x["key"], " is not locked")).when(~matches_type(x["value"], kind(x)), say(": ", e["category"], ".", x["key"], " has the wrong type"))
+        absent = F.filter(F.try_element_at(needed, e["category"]), lambda k: ~F.coalesce(F.map_contains_key(values, k), F.lit(False)))
+        none = F.array().cast("array<string>")
+        found = F.concat(F.coalesce(F.transform(F.map_entries(values), value), none), F.coalesce(F.transform(absent, lambda k: say(": ", e["category"], ".", k, " is required")), none))
+        return F.when(inside(categories, e["category"]), found).otherwise(F.array(say(": category ", e["category"])))
+
+    lacking = lambda column, values, what: F.transform(F.filter(column, lambda x: ~inside(values, x)), lambda x: say(f": {what} ", x))
+    parts = [F.flatten(F.transform("entities", entity)), lacking(F.col("passages.kind"), kinds, "passage kind"), lacking(F.col("relationships.predicate"), relations, "relation")]
+    every = F.concat(*[F.coalesce(F.array_compact(p), F.array().cast("array<string>")) for p in parts])
+    return extractions.select(F.explode_outer(every).alias("detail")).filter(F.col("detail").isNotNull()).distinct()
 
 
 def excerpts(extractions: DataFrame) -> DataFrame:

@@ -63,6 +63,10 @@ def _character_runs(docs: DataFrame, sizes: list[int], piece: int = 1 << 16) ->
     return docs.select("doc_id", "text").mapInArrow(run, StructType([docs.schema["doc_id"], StructField("k", StringType())]))
 
 
+#: Keys of items that are sent along as a set at most.
+FEW_KEYS = 10_000
+
+
 def quotations(docs: DataFrame, items: DataFrame, words: int = 6) -> DataFrame:
     """(item_id, doc_id) of items that stand verbatim in a document.
 
@@ -71,13 +75,18 @@ def quotations(docs: DataFrame, items: DataFrame, words: int = 6) -> DataFrame:
     last word of an item can be parts of a document's; items without as many words between them have their
     first twelve characters, or all if they are fewer, as a key instead."""
     split = lambda c: F.split(F.trim(F.regexp_replace(c, r"[ \t\r\n]+", " ")), " ")
-    run = lambda w, at: F.xxhash64(F.array_join(F.slice(w, at, F.lit(words)), " "))
+    hashes = lambda w: F.transform(w, lambda x: F.xxhash64(x))
+    run = lambda h, at: F.xxhash64(*[F.get(h, at + k) for k in range(words)])  # noqa: E731  h: hashes of words
     texts = docs.filter(F.col("text").isNotNull())
     cut = items.filter(F.col("text").isNotNull()).withColumn("w", split("text"))
-    keyed = cut.filter(F.size("w") > words + 1).select("item_id", F.col("text").alias("item"), run(F.col("w"), F.lit(2)).alias("k"))
-    split_docs = texts.withColumn("w", split("text")).filter(F.size("w") >= words)
-    runs = split_docs.select("doc_id", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - words + 1), lambda i: run(F.col("w"), i))).alias("k"))
-    met = runs.join(keyed.select("k"), "k", "left_semi").distinct()
+    keyed = cut.filter(F.size("w") > words + 1).select("item_id", F.col("text").alias("item"), run(hashes(F.slice("w", 2, words)), F.lit(0)).alias("k"))
+    split_docs = texts.select("doc_id", hashes(split("text")).alias("h"))
+    runs = split_docs.select("doc_id", F.when(F.size("h") >= words, F.transform(F.sequence(F.lit(0), F.size("h") - words), lambda i: run(F.col("h"), i))).alias("ks"))
+    wanted = [r.k for r in keyed.select("k").distinct().limit(FEW_KEYS + 1).collect()]
+    if len(wanted) <= FEW_KEYS:  # then runs that no item has are left out before they become rows
+        runs = runs.withColumn("ks", F.filter("ks", lambda k: k.isin(wanted) if wanted else F.lit(False)))
+    # the outer form: from the other one a filter would be inferred that computes the hashes again for each run
+    met = runs.select("doc_id", F.explode_outer("ks").alias("k")).join(keyed.select("k"), "k", "left_semi").distinct()
     pairs = met.join(keyed, "k").select("doc_id", "item_id", "item")
     short = cut.filter(F.size("w") <= words + 1).select("item_id", F.col("text").alias("item"), F.substring("text", 1, 12).alias("k"))
     sizes = sorted(r[0] for r in short.select(F.length("k")).distinct().collect())  # at most 13
