@@ -33,7 +33,7 @@ from .common import slices, utf8
 
 SAMPLE, GRAMS, LANGUAGES = 1500, 30_000, 256
 RATIO = 0.3
-SLOT_BITS, HASHES, SIZE = 20, 3, 4
+SLOT_BITS, HASHES, SIZE, PARTS = 20, 3, 4, 32
 UNKNOWN = "und"
 _CHUNK = 1 << 20
 
@@ -137,10 +137,15 @@ def fit(rows: DataFrame, sample: int = SAMPLE, keep_grams: int = GRAMS) -> Filte
                 yield pa.RecordBatch.from_arrays([lang, pa.array((key & np.uint64(0xFFFFFFFF)).astype(np.int64)), pa.array(n.astype(np.int64))], ["lang", "gram", "n"])
 
     found = chosen.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    found = found.withColumn("rate", F.col("n") / F.sum("n").over(W.partitionBy("lang")))
+    total = found.groupBy("lang").agg(F.sum("n").alias("total"))  # a row for each language
+    found = found.join(F.broadcast(total), "lang").withColumn("rate", F.col("n") / F.col("total")).drop("total")
     found = found.withColumn("top", F.max("rate").over(W.partitionBy("gram"))).filter(F.col("rate") >= RATIO * F.col("top"))
-    best = W.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    table = found.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= keep_grams).select("lang", "gram").toArrow()
+    # the most frequent of each part of a language first, so that no task sorts all of a language
+    parts = found.withColumn("part", F.pmod(F.xxhash64("gram"), F.lit(PARTS)))
+    for group in (("lang", "part"), ("lang",)):
+        best = W.partitionBy(*group).orderBy(F.desc("n"), "gram")
+        parts = parts.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= keep_grams)
+    table = parts.select("lang", "gram").toArrow()
     names = table.column("lang").combine_chunks().dictionary_encode()
     gram, code = np.asarray(table.column("gram"), np.int64).astype(np.uint32), np.asarray(names.indices)
     members = {name: gram[code == i] for i, name in enumerate(names.dictionary.to_pylist())}
