@@ -179,6 +179,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, query_block: int = QUERY_BLO
     n = queries.count()
     blocks = max(1, -(-n // query_block))
     out = None
+    if blocks > 1:  # quantised once for all passes
+        rows = keep(rows)
+        queries = rows.filter(is_query)
     for b in range(blocks):
         block = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).collect() if n else []
         if block:
