@@ -234,10 +234,10 @@ def _linked(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
 def _open(rows: DataFrame) -> DataFrame:
     """rows (key, node, label, r, n) of keys that hold several components, with how many rows each has.
 
-    The keys are written first: joined to a written table, the rows of a frequent key can be split."""
+    The keys are written first: few are broadcast, and joined to a written table the rows of a frequent key can be split."""
     keys = rows.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("rows"))
     keys = keep(keys.filter(F.col("x") != F.col("y")).select("key", "rows"))
-    return rows.join(keys, "key").select("key", "node", "label", "r", "n", "rows")
+    return rows.join(within(keys), "key").select("key", "node", "label", "r", "n", "rows")
 
 
 def _enough(n_a, r_a, n_b, r_b, percent, least=min):
@@ -299,7 +299,7 @@ def _rarest(nodes: DataFrame, classes: DataFrame, held: DataFrame, percent: int)
 
 def _across(met: DataFrame, classes: DataFrame, labels: DataFrame, tried: DataFrame, held: DataFrame, level: Level) -> DataFrame:
     """Candidate pairs (a < b) that share a bucket but no component yet."""
-    labelled = met.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"), F.lit(1).alias("r"), F.lit(0).cast("long").alias("n"))
+    labelled = met.join(within(labels), "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"), F.lit(1).alias("r"), F.lit(0).cast("long").alias("n"))
     rows = keep(_open(keep(labelled)))
     small = _listed(rows.filter(F.col("rows") <= SMALL), level.percent)
     nodes = keep(rows.filter(F.col("rows") > SMALL).select("node", "label").distinct())
@@ -321,24 +321,27 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = keep(classes.select(F.col("first.h").alias("node"), F.col("first.h").alias("h"), "first.doc_id", "low", "high", "n", "sketch"))
     banded = keep(bands(classes, level.bands))
     several = keep(banded.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1))
-    met = keep(banded.join(several, "key"))
+    met = keep(banded.join(within(several), "key"))
     drop(banded)
     # the class that shares most buckets is the centre of each that it is in
     weight = keep(met.groupBy("node").agg(F.sum("rows").alias("weight")))
+    nodes = within(weight)
     held = _members(weight.select("node"), docs)
-    weighed = met.join(weight, "node")
+    # from here on only classes that share a bucket matter, and their registers are looked up often
+    near = keep(classes.join(nodes.select("node"), "node", "left_semi"))
+    weighed = met.join(nodes, "node")
     centre = weighed.groupBy("key").agg(F.max(F.struct("weight", F.bitwise_not("node").alias("minus"))).alias("top")).select("key", F.bitwise_not("top.minus").alias("centre"))
-    star = met.join(keep(centre), "key").filter(F.col("node") != F.col("centre")).select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    star = keep(_promising(star, classes, level))
+    star = met.join(within(keep(centre)), "key").filter(F.col("node") != F.col("centre")).select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    star = keep(_promising(star, near, level))
     first = keep(_linked(star, held, percent))
     tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = keep(_across(met, classes, components(first), tried, held, level))
+    rest = keep(_across(met, near, components(first), tried, held, level))
     links = keep(first if rest.isEmpty() else first.unionByName(_linked(rest, held, percent)))
-    drop(held)
-    drop(met)
+    for table in (held, met, near):
+        drop(table)
     labels = components(links)
     # classes are named by a key of their text, as a doc_id can have several; a component's name is its smallest doc_id; classes without one have none to give
-    named = classes.select("low", "high", "node", "doc_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    named = classes.select("low", "high", "node", "doc_id").join(within(labels), "node", "left").withColumn("label", F.coalesce("label", "node"))
     names = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     named = named.join(names, "label").select("low", "high", "component_id", "label")
     # rows without shingles meet nobody, however many they are
