@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import keep
+from .common import keep, within
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Fixed values of the mix: weights in turn, share of all words, repeats at most.
@@ -150,7 +150,7 @@ def shares(docs: DataFrame, **options) -> DataFrame:
     rows = keep(docs.select("doc_id", "source", size.alias("size"), _key().alias("h"), F.spark_partition_id().alias("part")))
     decided = keep(_decided(rows, **options))
     names = ("doc_id", "h", "source", "size", "source_size", "target")
-    found = rows.join(decided, "h")
+    found = rows.join(within(decided), "h")
     alone = found.filter("rows = 1").select(*names, F.col("total").alias("copies"))
     # equal rows are numbered inside the parts that they came in, so that no task holds all of a frequent row
     again = found.filter("rows > 1").withColumn("own", F.row_number().over(W.partitionBy("h", "part").orderBy("part")))
@@ -169,6 +169,6 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     taken = _decided(docs.select("source", size.alias("size"), _key().alias("h")), **options)
     taken = keep(taken.filter(F.col("total") > 0).select(F.col("h").alias("__h"), F.col("total").alias("__copies"), F.col("rows").alias("__rows")))
-    out = docs.withColumn("__h", _key()).join(taken, "__h")
+    out = docs.withColumn("__h", _key()).join(within(taken), "__h")
     both = out.filter(F.col("__rows") == 1).unionByName(out.filter(F.col("__rows") > 1).dropDuplicates(["__h"]))
     return both.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
