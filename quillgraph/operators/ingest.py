@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -18,11 +20,11 @@ def scoped(drafts: DataFrame, start: int = 1, most: int | None = None, source: s
     return rows.filter(F.col("ordinal") <= most) if most else rows
 
 
-def segments(drafts: DataFrame, start: int = 1, most: int | None = None, unicode: bool = True) -> DataFrame:
-    """The segments table of (sourceId, pos, title, text, locator)."""
+def segments(drafts: DataFrame, start: int = 1, most: int | None = None, unicode: bool = True, number: Callable[[Column], Column] = X.padded) -> DataFrame:
+    """The segments table of (sourceId, pos, title, text, locator); number: how an id spells the ordinal."""
     rows = scoped(drafts, start, most).withColumn("text", X.comparable(F.col("text"), unicode))
     rows = rows.withColumn("sha256", X.sha256(F.col("text")))
-    name = F.format_string("%s-%04d-%s", "sourceId", "ordinal", F.substring("sha256", 1, 10))
+    name = F.concat_ws("-", "sourceId", number(F.col("ordinal")), F.substring("sha256", 1, 10))
     title = F.coalesce(F.when(F.col("title") != "", F.col("title")), F.format_string("Segment %d", "ordinal"))
     return rows.select(name.alias("id"), "sourceId", "ordinal", title.alias("title"), "text", "sha256", "locator")
 
