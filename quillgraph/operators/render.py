@@ -6,7 +6,7 @@ put in order inside the group. The disjunctive match of passages (speaker or lin
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -19,7 +19,7 @@ from .identity import collated
 from .ordering import numbered
 from .taxonomy import Taxonomy
 
-#: Lines of an index page at most.
+#: Lines of an index page at most, where an index may be several pages; of a block of lines elsewhere.
 INDEX_LINES = 100_000
 
 
@@ -78,7 +78,26 @@ def passage_links(passages: DataFrame) -> DataFrame:
     return passages.select("id", "title", X.passage_path(F.col("title"), F.col("id")).alias("path"), F.explode(ids).alias("entity"))
 
 
-def render(segments: DataFrame, extractions: DataFrame, graph: Graph, taxonomy: Taxonomy, title: str, excerpts: bool = True, most: int = 280) -> DataFrame:
+def one_page(lines: DataFrame) -> DataFrame:
+    """(part 0, text) of numbered lines: blocks of them are joined where they lie, then the blocks, a row each."""
+    join = lambda order, c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, c))), lambda x: x[c]), "\n")
+    blocks = lines.groupBy(F.floor((F.col("number") - 1) / INDEX_LINES).alias("block")).agg(join("number", "line").alias("text"))
+    return blocks.groupBy().agg(join("block", "text").alias("text")).select(F.lit(0).cast("long").alias("part"), "text")
+
+
+def several_pages(lines: DataFrame, path: Callable[[Column], Column], head: str) -> DataFrame:
+    """(part, text) of numbered lines, INDEX_LINES each, all but the last with a link to the next."""
+    part = F.floor((F.col("number") - 1) / INDEX_LINES)
+    found = lines.groupBy(part.alias("part")).agg(F.array_sort(F.collect_list(F.struct("number", "line"))).alias("all"))
+    if not found.filter("part = 0").count():
+        found = lines.sparkSession.createDataFrame([(0, [])], found.schema)
+    last = found.agg(F.max("part")).first()[0]
+    more = F.when(F.col("part") < last, F.concat(F.lit("\n- "), link(path(F.col("part") + 1), F.lit(f"{head}, continued")))).otherwise("")
+    return found.select("part", F.concat(F.array_join(F.transform("all", lambda x: x["line"]), "\n"), more).alias("text"))
+
+
+def render(segments: DataFrame, extractions: DataFrame, graph: Graph, taxonomy: Taxonomy, title: str, excerpts: bool = True, most: int = 280, paged: bool = True) -> DataFrame:
+    """paged: whether an index longer than INDEX_LINES is several pages, or one whatever its length."""
     spark = segments.sparkSession
     where = chapters(segments)
     names = graph.entities.select("id", "canonicalName").join(entity_paths(graph.entities, taxonomy), "id")
@@ -89,18 +108,11 @@ def render(segments: DataFrame, extractions: DataFrame, graph: Graph, taxonomy:
     ]
 
     def index(rows: DataFrame, path: str, head: str, line: Column, *order: Column) -> DataFrame:
-        """One page; from INDEX_LINES lines on several, each of which names the next."""
         stem = path.removesuffix(".md")
         lines = numbered(rows.select(*[o.alias(f"o{i}") for i, o in enumerate(order)], line.alias("line")), *[f"o{i}" for i in range(len(order))])
-        part = F.floor((F.col("number") - 1) / INDEX_LINES)
-        found = lines.groupBy(part.alias("part")).agg(F.array_sort(F.collect_list(F.struct("number", "line"))).alias("all"))
-        if not found.filter("part = 0").count():
-            found = spark.createDataFrame([(0, [])], found.schema)
-        last = found.agg(F.max("part")).first()[0]
         name = lambda k: F.when(k == 0, F.lit(stem)).otherwise(F.concat(F.lit(f"{stem}-"), (k + 1).cast("string")))
-        more = F.when(F.col("part") < last, F.concat(F.lit("\n- "), link(name(F.col("part") + 1), F.lit(f"{head}, continued")))).otherwise("")
-        text = F.concat(F.array_join(F.transform("all", lambda x: x["line"]), "\n"), more)
-        return found.select(F.concat(name(F.col("part")), F.lit(".md")).alias("path"), page(front_matter(("title", quoted(F.lit(head))), ("type", F.lit("index"))), f"# {head}", "", text).alias("content"))
+        found = several_pages(lines, name, head) if paged else one_page(lines)
+        return found.select(F.concat(name(F.col("part")), F.lit(".md")).alias("path"), page(front_matter(("title", quoted(F.lit(head))), ("type", F.lit("index"))), f"# {head}", "", F.col("text")).alias("content"))
 
     pages.append(index(where, "Chapters/index.md", "Reading order", F.concat(F.lit("- "), link(F.col("chapter"), F.concat(F.col("ordinal").cast("string"), F.lit(". "), F.col("title")))), F.col("sourceId"), F.col("ordinal")))
 

@@ -4,6 +4,7 @@ from collections import Counter
 
 import duckdb
 
+from quillgraph.operators import render
 from quillgraph.plans import catalog
 
 
@@ -31,3 +32,14 @@ def test_ids_of_over_9999_lines(spark, tmp_path):
     folder = table(tmp_path, "documents", "SELECT 1 AS doc_id, string_agg('a line of twenty or more ' || i, chr(10) ORDER BY i) AS text, 'en' AS lang, 's' AS source, 6 AS n_chars FROM range(10020) t(i)")
     got, expected = both(spark, folder, "documents", "segment_documents")
     assert got == expected
+
+
+def parts(folder, rows, brands):
+    return table(folder, "part", f"SELECT i AS p_partkey, ['hot', 'cold', 'large', 'old'][i % 4 + 1] || ' ' || ['bolt', 'ring', 'rod'][i % 3 + 1] AS p_name, 'Brand#' || i % {brands} AS p_brand, 'SMALL' AS p_type, CAST(i % 11 + 1 AS INTEGER) AS p_size, 900 + i % 100 / 1.0 AS p_retailprice FROM range({rows}) t(i)")
+
+
+def test_long_indexes_are_one_page_in_the_query(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(render, "INDEX_LINES", 30)
+    folder = parts(tmp_path, 200, 3)
+    got, expected = both(spark, folder, "part", "index_pages")
+    assert got == expected
