@@ -5,7 +5,7 @@ from collections import Counter
 import duckdb
 
 from quillgraph.operators import render
-from quillgraph.plans import catalog
+from quillgraph.plans import catalog, narrative
 
 
 def table(folder, name, sql):
@@ -43,3 +43,17 @@ def test_long_indexes_are_one_page_in_the_query(spark, tmp_path, monkeypatch):
     folder = parts(tmp_path, 200, 3)
     got, expected = both(spark, folder, "part", "index_pages")
     assert got == expected
+
+
+def test_no_index_is_among_the_chapters(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(render, "INDEX_LINES", 30)
+    folder = parts(tmp_path, 200, 3)
+    got, expected = both(spark, folder, "part", "chapter_pages")
+    assert got == expected
+
+
+def test_pages_of_one_kind(spark, tmp_path):
+    folder = parts(tmp_path, 60, 3)
+    paths = lambda kind: {r.path.split("/")[0] for r in narrative._pages(spark, folder, kind).select("path").collect()}
+    assert paths("chapters") == {"Chapters"} and paths("passages") == {"Passages"} and paths("indexes") == {"Chapters", "Passages", "Entities.md"}
+    assert paths("entities") == {"Bolts", "Rings", "Rods", "Makers"}
