@@ -68,10 +68,10 @@ def entity_paths(entities: DataFrame, taxonomy: Taxonomy) -> DataFrame:
     return rows.select("id", F.when(again == 1, F.col("base")).otherwise(F.concat_ws("-", "base", F.right("id", F.lit(8)))).alias("path"))
 
 
-def chapters(segments: DataFrame) -> DataFrame:
+def chapters(segments: DataFrame, number: Callable[[Column], Column] = X.padded) -> DataFrame:
     """(segmentId, chapter, label, title, ...) of every segment."""
     title = X.inline(F.col("title"))
-    return segments.select(F.col("id").alias("segmentId"), "sourceId", "ordinal", "locator", X.chapter_path(F.col("ordinal"), F.col("title")).alias("chapter"), X.chapter_label(F.col("ordinal"), title).alias("label"), title.alias("title"))
+    return segments.select(F.col("id").alias("segmentId"), "sourceId", "ordinal", "locator", X.chapter_path(F.col("ordinal"), F.col("title"), number).alias("chapter"), X.chapter_label(F.col("ordinal"), title).alias("label"), title.alias("title"))
 
 
 def passage_links(passages: DataFrame) -> DataFrame:
@@ -98,10 +98,10 @@ def several_pages(lines: DataFrame, path: Callable[[Column], Column], head: str)
     return found.select("part", F.concat(F.array_join(F.transform("all", lambda x: x["line"]), "\n"), more).alias("text"))
 
 
-def render(segments: DataFrame, extractions: DataFrame, graph: Graph, taxonomy: Taxonomy, title: str, excerpts: bool = True, most: int = 280, paged: bool = True, kinds: Collection[str] = KINDS) -> DataFrame:
-    """kinds: which pages to make; paged: whether an index longer than INDEX_LINES is several pages, or one whatever its length."""
+def render(segments: DataFrame, extractions: DataFrame, graph: Graph, taxonomy: Taxonomy, title: str, excerpts: bool = True, most: int = 280, paged: bool = True, kinds: Collection[str] = KINDS, number: Callable[[Column], Column] = X.padded) -> DataFrame:
+    """kinds: which pages to make; number: how a chapter's path spells its ordinal; paged: whether an index longer than INDEX_LINES is several pages, or one whatever its length."""
     spark = segments.sparkSession
-    where = chapters(segments)
+    where = chapters(segments, number)
     names = graph.entities.select("id", "canonicalName").join(entity_paths(graph.entities, taxonomy), "id")
     place = where.select("segmentId", "chapter", "label")
     pages = []

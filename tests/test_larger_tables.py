@@ -3,6 +3,7 @@
 from collections import Counter
 
 import duckdb
+import pytest
 
 from quillgraph.operators import render
 from quillgraph.plans import catalog, narrative
@@ -38,6 +39,11 @@ def parts(folder, rows, brands):
     return table(folder, "part", f"SELECT i AS p_partkey, ['hot', 'cold', 'large', 'old'][i % 4 + 1] || ' ' || ['bolt', 'ring', 'rod'][i % 3 + 1] AS p_name, 'Brand#' || i % {brands} AS p_brand, 'SMALL' AS p_type, CAST(i % 11 + 1 AS INTEGER) AS p_size, 900 + i % 100 / 1.0 AS p_retailprice FROM range({rows}) t(i)")
 
 
+@pytest.fixture(scope="module")
+def long_source(tmp_path_factory):
+    return parts(tmp_path_factory.mktemp("long"), 10_020, 1)
+
+
 def test_long_indexes_are_one_page_in_the_query(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(render, "INDEX_LINES", 30)
     folder = parts(tmp_path, 200, 3)
@@ -57,3 +63,9 @@ def test_pages_of_one_kind(spark, tmp_path):
     paths = lambda kind: {r.path.split("/")[0] for r in narrative._pages(spark, folder, kind).select("path").collect()}
     assert paths("chapters") == {"Chapters"} and paths("passages") == {"Passages"} and paths("indexes") == {"Chapters", "Passages", "Entities.md"}
     assert paths("entities") == {"Bolts", "Rings", "Rods", "Makers"}
+
+
+@pytest.mark.parametrize("query", ["entity_pages", "chapter_pages", "passage_pages", "index_pages"])
+def test_pages_of_over_9999_chapters(spark, long_source, query):
+    got, expected = both(spark, long_source, "part", query)
+    assert got == expected
