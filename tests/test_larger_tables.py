@@ -5,7 +5,7 @@ from collections import Counter
 import duckdb
 import pytest
 
-from quillgraph.operators import render
+from quillgraph.operators import graph, identity, render
 from quillgraph.plans import catalog, narrative
 
 
@@ -69,3 +69,10 @@ def test_pages_of_one_kind(spark, tmp_path):
 def test_pages_of_over_9999_chapters(spark, long_source, query):
     got, expected = both(spark, long_source, "part", query)
     assert got == expected
+
+
+def test_extractions_are_built_once_and_where_parts_are_dealt_to(spark, tmp_path):
+    folder = parts(tmp_path, 60, 3)
+    found = identity.mentions(narrative.extractions(spark, folder), narrative.segments(spark, folder))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and "Maker " not in plan.split("RepartitionByExpression", 1)[1] and plan.count("Maker ") == 1
