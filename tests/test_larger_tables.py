@@ -76,3 +76,14 @@ def test_extractions_are_built_once_and_where_parts_are_dealt_to(spark, tmp_path
     found = identity.mentions(narrative.extractions(spark, folder), narrative.segments(spark, folder))
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression" in plan and "Maker " not in plan.split("RepartitionByExpression", 1)[1] and plan.count("Maker ") == 1
+
+
+def test_merging_looks_at_equal_mentions_once(spark, tmp_path):
+    folder = parts(tmp_path, 600, 3)
+    found = identity.mentions(narrative.extractions(spark, folder), narrative.segments(spark, folder))
+    known = identity.terms(found)
+    assert known.count() == found.select("key", "category", "aliases").distinct().count() < found.count() / 2
+    owners = lambda rows: {(r.alias_key, tuple(r.owners)) for r in identity.alias_owners(rows).collect()}
+    assert owners(known) == owners(found)
+    place = lambda rows: {(r.segmentId, r.pos, r.group, r.seq) for r in rows.collect()}
+    assert place(identity.group_mentions(found, known=known)) == place(identity.group_mentions(found))
