@@ -87,3 +87,11 @@ def test_merging_looks_at_equal_mentions_once(spark, tmp_path):
     assert owners(known) == owners(found)
     place = lambda rows: {(r.segmentId, r.pos, r.group, r.seq) for r in rows.collect()}
     assert place(identity.group_mentions(found, known=known)) == place(identity.group_mentions(found))
+
+
+@pytest.mark.parametrize("query", ["identity_gate", "graph_claims", "graph_relationships", "passage_pages", "graph_issues"])
+def test_nothing_is_numbered_that_needs_no_numbers(spark, tmp_path, monkeypatch, query):
+    monkeypatch.setattr(graph, "numbered", None)
+    folder = parts(tmp_path, 60, 3)
+    got, expected = both(spark, folder, "part", query)
+    assert got == expected
