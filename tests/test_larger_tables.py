@@ -95,3 +95,10 @@ def test_nothing_is_numbered_that_needs_no_numbers(spark, tmp_path, monkeypatch,
     folder = parts(tmp_path, 60, 3)
     got, expected = both(spark, folder, "part", query)
     assert got == expected
+
+
+def test_passages_make_no_index(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(render, "numbered", None)
+    folder = parts(tmp_path, 60, 3)
+    got, expected = both(spark, folder, "part", "passage_pages")
+    assert got == expected
