@@ -26,6 +26,7 @@ from math import log
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,6 +77,16 @@ class Vocabulary:
         """The text of pieces; the space that encoding puts before a text goes."""
         return b"".join(map(self.text.__getitem__, ids)).decode()[1:]
 
+    def alike(self, a: np.ndarray, b: np.ndarray) -> bool:
+        """Whether pieces spell the same bytes; what they begin and end with alike is not spelled."""
+        n = min(len(a), len(b))
+        differ = a[:n] != b[:n]
+        low = int(differ.argmax()) if differ.any() else n
+        differ = a[len(a) - n + low :][::-1] != b[len(b) - n + low :][::-1]
+        high = int(differ.argmax()) if differ.any() else n - low
+        spell = lambda x: b"".join(map(self.text.__getitem__, x[low : len(x) - high].tolist()))
+        return spell(a) == spell(b)
+
     def trie(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Sorted keys (node << 21 | character), the nodes that they lead to, and score and id of each node."""
         node = {"": 0}
@@ -157,7 +168,7 @@ class Segmenter:
             live = np.flatnonzero(size > i)
             state = np.zeros(len(live), np.int64)
             for n in range(1, min(longest, width - i) + 1):
-                key = state << 21 | chars[i + n - 1, live]
+                key = state << 21 | chars[i + n - 1][live]
                 at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
                 hit = keys[at] == key
                 if n == 1:
@@ -168,11 +179,12 @@ class Segmenter:
                     raw = byte_score * (1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF))
                     edges[i, 0] = live[bare], raw
                     self._relax(best, back, ids, i, i + 1, live[bare], raw, -code - 1)
+                hit = np.flatnonzero(hit)
                 live, state = live[hit], to[at[hit]]
                 if not len(live):
                     break
                 score = value[state]
-                full = ~np.isnan(score)
+                full = np.flatnonzero(~np.isnan(score))
                 edges[i, n] = live[full], score[full]
                 self._relax(best, back, ids, i, i + n, live[full], score[full], piece[state[full]])
         every = np.arange(m)
@@ -190,10 +202,11 @@ class Segmenter:
                 if (start, n) not in edges:
                     continue
                 who, score = edges[start, n]
-                there = score + after[end, who]
-                after[start, who] = np.maximum(after[start, who], there)
-                off = ~(on[end, who] & (back[end, who] == start))
-                second[who[off]] = np.maximum(second[who[off]], best[start, who[off]] + there[off])
+                there = score + after[end][who]
+                after[start][who] = np.maximum(after[start][who], there)
+                off = np.flatnonzero(~(on[end][who] & (back[end][who] == start)))
+                lacks = who[off]
+                second[lacks] = np.maximum(second[lacks], best[start][lacks] + there[off])
         where, chunk = np.nonzero(on.T)[::-1]
         found = ids[where, chunk]
         bare = found < 0
@@ -208,11 +221,12 @@ class Segmenter:
 
     @staticmethod
     def _relax(best, back, ids, start: int, end: int, who: np.ndarray, score: np.ndarray, own: np.ndarray) -> None:
-        there = best[start, who] + score
-        up = there > best[end, who]
-        best[end, who[up]] = there[up]
-        back[end, who[up]] = start
-        ids[end, who[up]] = own[up]
+        there = best[start][who] + score
+        up = np.flatnonzero(there > best[end][who])
+        better = who[up]
+        best[end][better] = there[up]
+        back[end][better] = start
+        ids[end][better] = own[up]
 
     def search(self, chunk: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """The n best (score, ids) of a chunk, best first: backward A-star under the forward scores."""
@@ -237,23 +251,43 @@ class Segmenter:
     def chunks(self, text: str) -> list[str]:
         return _CHUNKS.findall(" " + text) if self.vocabulary.chunked else [" " + text]
 
-    def learn(self, chunks: set[str]) -> None:
+    def dealt(self, texts: list[str]) -> tuple[list[str], list[np.ndarray]]:
+        """The chunks of texts, those that repeat mostly once, and for each text the places of its own among them."""
+        plain = [self.vocabulary.chunked and t != "" and t[0] != " " != t[-1] and "  " not in t for t in texts]
+        try:
+            words = pc.split_pattern(pa.array([t for t, p in zip(texts, plain, strict=True) if p], pa.large_string()), " ")
+        except UnicodeEncodeError:  # half a character
+            plain, words = [False] * len(texts), pa.array([], pa.list_(pa.large_string()))
+        # single spaces only: each word is a chunk with the space before it
+        found = words.flatten().dictionary_encode()
+        chunks = [" " + w for w in found.dictionary.to_pylist()]
+        own = iter(np.split(found.indices.to_numpy(), words.offsets.to_numpy()[1:-1]))
+        more: dict[str, int] = {}
+        places = [next(own) if p else np.asarray([more.setdefault(c, len(chunks) + len(more)) for c in (self.chunks(t) if t else [])], np.int64) for t, p in zip(texts, plain, strict=True)]
+        return chunks + list(more), places
+
+    def learn(self, chunks: list[str]) -> None:
         """Solves the chunks that are new, those of like length together."""
-        new = sorted(chunks - self.place.keys(), key=len)
+        new = sorted({c for c in chunks if c not in self.place}, key=len)
+        size = [len(c) for c in new]
+        scores, gaps, ids, firsts, n = [self.score], [self.gap], [self.ids], [self.first], len(self.ids)
         i = 0
         while i < len(new):
             # arrays of chunks times length stay small, whatever the lengths
-            width = len(new[i])
+            longest = max(12, size[i] + size[i] // 4)
             j = i + 1
-            while j < len(new) and len(new[j]) <= max(12, width + width // 4) and (j - i + 1) * len(new[j]) <= _CELLS:
+            while j < len(new) and size[j] <= longest and (j - i + 1) * size[j] <= _CELLS:
                 j += 1
             total, gap, flat, offsets = self.solve(new[i:j])
-            base, n = len(self.score), len(self.ids)
-            self.place.update(zip(new[i:j], range(base, base + j - i), strict=True))
-            self.score, self.gap = np.concatenate([self.score, total]), np.concatenate([self.gap, gap])
-            self.ids, self.first = np.concatenate([self.ids, flat]), np.concatenate([self.first, offsets[1:] + n])
-            self.parts = np.concatenate([self.parts, np.zeros(j - i, np.int32)])
+            scores.append(total)
+            gaps.append(gap)
+            ids.append(flat)
+            firsts.append(offsets[1:] + n)
+            n += len(flat)
             i = j
+        self.place.update(zip(new, range(len(self.score), len(self.score) + len(new)), strict=True))
+        self.score, self.gap, self.ids, self.first = map(np.concatenate, (scores, gaps, ids, firsts))
+        self.parts = np.concatenate([self.parts, np.zeros(len(new), np.int32)])
 
     def reset(self) -> None:
         self.place, self.ranked = {}, {}
@@ -280,17 +314,18 @@ class Segmenter:
         """For each whole text its n best (score, ids), best first; fewer if there are fewer."""
         if len(self.place) > _REMEMBER or len(self.ids) > 8 * _REMEMBER or len(self.ranked) > _REMEMBER // 8:
             self.trim()
-        chunks = [self.chunks(t) if t else [] for t in texts]
-        every = {c for own in chunks for c in own}
-        self.learn(every)
-        self.parts[np.fromiter(map(self.place.__getitem__, every), np.int64, len(every))] += 1
-        del every
-        for own in chunks:
-            yield self._ranked(own, np.fromiter(map(self.place.__getitem__, own), np.int64, len(own)), n)
-
-    def _ranked(self, chunks: list[str], at: np.ndarray, n: int) -> list[tuple[float, np.ndarray]]:
-        if not len(at):
+        chunks, places = self.dealt(texts)
+        self.learn(chunks)
+        at = np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks))
+        self.parts[at] += 1
+        for own in places:
+            yield self._ranked(chunks, own, at, n)
+
+    def _ranked(self, chunks: list[str], own: np.ndarray, known: np.ndarray, n: int) -> list[tuple[float, np.ndarray]]:
+        """own: a text's places among the chunks; known: where those are remembered."""
+        if not len(own):
             return [(0.0, np.zeros(0, np.int32))]
+        at = known[own]
         count = self.first[at + 1] - self.first[at]
         starts = np.cumsum(count) - count
         ids = self.ids[np.arange(int(count.sum())) + np.repeat(self.first[at] - starts, count)]
@@ -305,9 +340,10 @@ class Segmenter:
         places = np.sort(np.concatenate([less, equal[: few - len(less)]])).tolist()
         choices = []
         for k in places:
-            ranked = self.ranked.get((chunks[k], n))
+            chunk = chunks[own[k]]
+            ranked = self.ranked.get((chunk, n))
             if ranked is None:
-                ranked = self.ranked[(chunks[k], n)] = self.search(chunks[k], n)
+                ranked = self.ranked[(chunk, n)] = self.search(chunk, n)
             choices.append(ranked)
         # backward over the chunks that may differ: what is left of a hypothesis is at its best
         agenda, pushed, picks = [(0.0, 0, len(places), ())], 0, []
@@ -407,14 +443,15 @@ def digest(docs: DataFrame, n: int = BEST, path: str = MODEL, ids: bool = False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = segmenter(path)
-        decode = s.vocabulary.decode
+        decode, alike = s.vocabulary.decode, s.vocabulary.alike
         for batch in batches:
             at = 0
             for part in _parts(batch.column(1)):
                 rows, kept = [], []
                 for t, best in zip(part, s.encode_all(part, n), strict=True):
                     raw = [x.astype("<i4").tobytes() for _, x in best]
-                    same = all(decode(x.tolist()) == t for _, x in best) if t else True
+                    first = best[0][1]
+                    same = decode(first.tolist()) == t and all(alike(x, first) for _, x in best[1:]) if t else True
                     rows.append((len(best[0][1]), best[0][0], hashlib.sha256(raw[0]).hexdigest(), [v for v, _ in best], hashlib.sha256(b"".join(len(x).to_bytes(8, "little") + x for x in raw)).hexdigest(), same))
                     kept.append(best[0][1])
                 types = (pa.int64(), pa.float64(), pa.string(), pa.list_(pa.float64()), pa.string(), pa.bool_())

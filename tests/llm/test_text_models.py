@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from quillgraph.llm import langid, pieces, ppm, secrets
@@ -225,3 +226,37 @@ def test_tables_of_pieces(corpus, empty, texts):
     out = {r.doc_id: r for r in pieces.decode(best.withColumn("ids", F.col("nbest")[0]["ids"])).collect()}
     assert out[150].nbest is None and out[150].decoded is None and out[151].decoded == "" and out[162].decoded == dict(texts)[162]
     assert pieces.digest(empty).count() == 0
+
+
+class Rows:
+    """Stands for a table: gives the function that mapInArrow would run."""
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, _):  # noqa: N802
+        return run
+
+
+def test_chunks_of_a_part_are_those_of_its_texts():
+    s = pieces.segmenter()
+    rng = random.Random(5)
+    texts = ["", "a", " a", "a ", "a  b", " ", "\n", "a b\nc a", "né▁ó the", "\U0001f600 \x00 ok", "the the th"] + ["".join(rng.choice("the an \n") for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    for some in (texts, [""], [" x", "  "], [*texts, "half \ud800 a  character"]):
+        chunks, places = s.dealt(some)
+        assert [[chunks[k] for k in own] for own in places] == [s.chunks(t) if t else [] for t in some]
+    plain = [t for t in texts if not t.startswith(" ") and not t.endswith(" ") and "  " not in t]
+    chunks, _ = s.dealt(plain)
+    assert len(chunks) == len(set(chunks))
+
+
+def test_round_trips_spell_a_text_once_and_tell_wrong_runners_up(monkeypatch):
+    texts = ["hello the thing", "a b c", "one\ntwo", "", None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    run, calls, decode, best = pieces.digest(Rows()), [], pieces.Vocabulary.decode, pieces.Segmenter.encode_all
+    monkeypatch.setattr(pieces.Vocabulary, "decode", lambda v, ids: calls.append(1) or decode(v, ids))
+    assert all(all(b["round_trip"]) for b in (x.to_pydict() for x in run([batch]))) and len(calls) == 3
+    for wrong in (lambda x: x[:-1], lambda x: x[1:], lambda x: np.append(x, x[-1]), lambda x: np.concatenate([x[:1], x])):
+        spoilt = lambda s, part, n, wrong=wrong: ([*b[:-1], (b[-1][0], wrong(b[-1][1]))] if len(b) > 1 else b for b in best(s, part, n))
+        monkeypatch.setattr(pieces.Segmenter, "encode_all", spoilt)
+        assert [x.to_pydict()["round_trip"] for x in run([batch])] == [[False, False, False, True, True]]
