@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from functools import cache, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +63,32 @@ def within(df: DataFrame, most: int = FEW) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+@cache
+def _trim() -> Callable[[int], int] | None:
+    """The C library's malloc_trim, where it has one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Gives memory that is free back to the system: Arrow's pool and the C library hold on to it, as long as a worker lives."""
+    pa.default_memory_pool().release_unused()
+    if _trim():
+        _trim()(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run for mapInArrow; a Python worker that idles after it, beside steps that need none, holds no free memory."""
+
+    @wraps(run)
+    def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return out
+
+
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The concatenated UTF-8 bytes of a string column and its n + 1 offsets; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

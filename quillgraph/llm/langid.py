@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import slices, utf8
+from .common import lean, release, slices, utf8
 
 SAMPLE, GRAMS, LANGUAGES = 1500, 30_000, 256
 RATIO = 0.3
@@ -125,6 +125,7 @@ def fit(rows: DataFrame, sample: int = SAMPLE, keep_grams: int = GRAMS) -> Filte
     chosen = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(share), "lang").filter(F.pmod(F.col("h"), F.lit(top)) < F.col("below"))
     chosen = chosen.dropDuplicates(["lang", "h"]).select("lang", "text")
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = batch.column(0).dictionary_encode()
@@ -171,6 +172,7 @@ def predict(docs: DataFrame, model: Filter) -> DataFrame:
                 score[i:j] = share[np.arange(j - i), top]
                 best[i:j] = np.where(score[i:j] > 0, top, m.fallback)
         score[~letters] = 0
+        release()
         names = np.asarray([*m.languages, UNKNOWN], object)
         best = np.where(letters & bool(m.languages), best, len(m.languages))
         return pa.StructArray.from_arrays([pa.array(names[best].tolist(), pa.string()), pa.array(score)], ["lang_pred", "score"])

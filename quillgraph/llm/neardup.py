@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Words, drop, keep, mix, slices, utf8, within
+from .common import Words, drop, keep, lean, mix, slices, utf8, within
 from .graph import components
 
 SIZE, BANDS, ROWS = 5, 25, 5
@@ -137,6 +137,7 @@ def _sizes_allow(n_a, n_b, percent):
 def described(docs: DataFrame, registers: int) -> DataFrame:
     """(doc_id, h, n, low, high, sketch): each row's key, set size, 128-bit set hash and registers."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, at = utf8(batch.column(2))
@@ -152,6 +153,7 @@ def described(docs: DataFrame, registers: int) -> DataFrame:
 def bands(classes: DataFrame, count: int) -> DataFrame:
     """(key, node): a row for each band of each class."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             m = batch.num_rows
@@ -173,6 +175,7 @@ def _promising(pairs: DataFrame, classes: DataFrame, level: Level) -> DataFrame:
     fit = pairs.join(side("a").drop("s_a"), "a").join(side("b").drop("s_b"), "b").filter(100 * F.least("n_a", "n_b") >= level.percent * F.greatest("n_a", "n_b"))
     both = fit.select("a", "b", "n_a", "n_b").join(side("a").drop("n_a"), "a").join(side("b").drop("n_b"), "b")
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             m = batch.num_rows
@@ -191,6 +194,7 @@ def _members(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     Where the nodes are few enough to be broadcast, no other text is shuffled."""
     texts = docs.select(F.xxhash64("doc_id", "text").alias("node"), "text").join(within(nodes), "node").dropDuplicates(["node"])
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, at = utf8(batch.column(1))
@@ -212,6 +216,7 @@ def _linked(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
     # each group's own set comes first, then those that are compared with it, in one stream
     dealt = left.unionByName(right).repartition(F.col("a"), F.col("salt")).sortWithinPartitions(F.col("a"), F.col("salt"), F.col("b").asc_nulls_first())
 
+    @lean
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = None
         for batch in batches:
@@ -283,6 +288,7 @@ def _rarest(nodes: DataFrame, classes: DataFrame, held: DataFrame, percent: int)
     Of n shingles a linked set shares at least percent % of n, so it shares one of the n less that, plus
     one, that come first in any one order. Those that no other node has are left out."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 64):

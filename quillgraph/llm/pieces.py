@@ -30,6 +30,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import lean
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BEST = 4
 SPACE = "▁"
@@ -441,6 +443,7 @@ def digest(docs: DataFrame, n: int = BEST, path: str = MODEL, ids: bool = False)
     round_trip: each of the n best decodes to the text. A null text counts as empty here."""
     names = ["doc_id", *(c.strip().split()[0] for c in DIGEST.split(","))] + ["ids"] * ids
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = segmenter(path)
         decode, alike = s.vocabulary.decode, s.vocabulary.alike
