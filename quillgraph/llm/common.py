@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import ctypes
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from functools import cache, wraps
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: Bytes that count as white space in every word rule of this subpackage.
 SPACES = np.zeros(256, bool)
@@ -63,6 +68,9 @@ def within(df: DataFrame, most: int = FEW) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
 @cache
 def _trim() -> Callable[[int], int] | None:
     """The C library's malloc_trim, where it has one."""
@@ -76,7 +84,7 @@ def release() -> None:
         _trim()(0)
 
 
-def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def lean(run: Run) -> Run:
     """run for mapInArrow; a Python worker that idles after it, beside steps that need none, holds no free memory."""
 
     @wraps(run)
@@ -89,6 +97,60 @@ def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
     return out
 
 
+def groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
+    """The rows of each value of column, a number, as one table; batches are sorted by it."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        key = batch.column(column).to_numpy(zero_copy_only=False)
+        edges = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)] if len(key) else []
+        for a, b in pairwise(edges):
+            if held and held[0].column(column)[0].as_py() != key[a]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+#: Rows and bytes of a table that a Python worker gathers before it writes them.
+_GROUP_ROWS, _GROUP_BYTES = 1 << 17, 8 << 20
+
+
+def keep_mapped(df: DataFrame, run: Run | None = None, schema: str = "") -> DataFrame:
+    """keep() of df.mapInArrow(run, schema), or of df without run, with no process started by the executors' JVMs.
+
+    In a folder of local files Spark's writer calls chmod three times a file, and until each call is another program its
+    process counts with all memory of its executor once more. So the Python workers write there, what run gives without
+    a way through the JVM. The table is the files that finished tasks have named; in any other folder keep() writes it."""
+    spark = df.sparkSession
+    fields = StructType.fromDDL(schema) if run else df.schema
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/quillgraph/{uuid.uuid4().hex}")
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme() != "file":
+        return keep(df.mapInArrow(run, fields) if run else df)
+    path, target = folder.toUri().getPath(), to_arrow_schema(fields)
+
+    @lean
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, held, rows, size, out = uuid.uuid4().hex, [], 0, 0, None
+        for batch in chain(run(batches) if run else batches, [None]):
+            if batch is not None and batch.num_rows:
+                held.append(batch.select(target.names))
+                rows, size = rows + batch.num_rows, size + batch.nbytes
+            if held and (batch is None or rows >= _GROUP_ROWS or size >= _GROUP_BYTES):
+                out = out or pq.ParquetWriter(f"{path}/.{name}", target)
+                out.write_table(pa.Table.from_batches(held).cast(target))
+                held, rows, size = [], 0, 0
+        if out:
+            out.close()
+            yield pa.RecordBatch.from_pydict({"name": [name]})
+
+    os.makedirs(path)
+    done = [r.name for r in df.mapInArrow(write, "name string").collect()]
+    for name in done:  # Spark overlooks the others, hidden files of tasks that failed or ran twice
+        os.rename(f"{path}/.{name}", f"{path}/{name}.parquet")
+    return spark.read.schema(fields).parquet(folder.toString()) if done else spark.createDataFrame([], fields)
+
+
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The concatenated UTF-8 bytes of a string column and its n + 1 offsets; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -31,11 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import WINDOW, WORDS, anchors, piece_hash, prefix, word_anchors, word_sums
-from .common import FEW, SPACES, Words, drop, keep, slices, utf8
+from .common import FEW, SPACES, Words, drop, groups, keep_mapped, lean, slices, utf8
 from .suffixes import common_prefixes, suffix_array
 
 SHARD, MOST_CONTEXTS = 1_500_000, 6000
-_CHUNK = 2 << 20
+_CHUNK = (2 << 20) - 2  # with one more it is under a power of two, to which powers() rounds up
 
 
 def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -48,7 +48,7 @@ _ANCHORS = "h long, fp long, context long, start int, windows int, size int, wor
 
 
 def anchored(docs: DataFrame) -> DataFrame:
-    """(h, fp, context, start, windows, size, words): each row's anchors; start and size of its context in bytes."""
+    """(h, fp, context, start, windows, size, words): each row's anchors, written; start and size of its context in bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -66,7 +66,7 @@ def anchored(docs: DataFrame) -> DataFrame:
                 doc, size = w.doc[first], w.end[first + count + WORDS - 2] - w.start[first]
                 yield _rows(key[i:j][doc], fp, context, w.start[first] - own[doc], count, size, True)
 
-    return docs.select("h", "text").mapInArrow(run, _ANCHORS)
+    return keep_mapped(docs.select("h", "text"), run, _ANCHORS)
 
 
 def _rows(key, fp, context, start, count, size, words: bool) -> pa.RecordBatch:
@@ -96,11 +96,11 @@ def _long(data: np.ndarray, key: int) -> Iterator[pa.RecordBatch]:
 
 
 def _pieces(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(fp, context, windows, shard, piece) of wanted (fp, context, h, start, windows, size, words, shard): the contexts' bytes.
+    """(fp, context, windows, shard, piece, words) of wanted (fp, context, h, start, windows, size, words, shard): the contexts' bytes, written.
 
     The piece of words is the fingerprints of its windows, eight bytes each."""
     cuts = wanted.groupBy("h").agg(F.collect_list(F.struct("fp", "context", "start", "windows", "size", "words", "shard")).alias("cuts"))
-    keys = keep(wanted.select("h").distinct())
+    keys = keep_mapped(wanted.select("h").distinct())
     rows = docs.select("h", "text")
     if keys.count() <= FEW:  # no other text is shuffled then
         rows = rows.join(F.broadcast(keys), "h", "left_semi")
@@ -133,68 +133,69 @@ def _pieces(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                         own[k] = hashes[a:b].tobytes()
                 yield pa.RecordBatch.from_arrays([fp[part], context[part], windows[part], shard[part], pa.array(own, pa.binary()), words[part]], ["fp", "context", "windows", "shard", "piece", "words"])
 
-    return rows.select("text", "cuts").mapInArrow(run, "fp long, context long, windows int, shard long, piece binary, words boolean")
-
-
-_SPANS = "fp long, context long, low int, high int"
-
-
-def _marked(sharded: DataFrame) -> DataFrame:
-    """(fp, context, low, high): runs of repeated windows, by a suffix array of each shard."""
-
-    def run(shard: pa.Table) -> pa.Table:
-        shard = shard.combine_chunks()
-        windows = np.asarray(shard.column("windows"), np.int64)
-        text = b"\x00".join(shard.column("piece").to_pylist())
-        # 0 ends the string, 1 stands between contexts, bytes follow
-        size = windows + WINDOW - 1
-        start = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
-        s = np.empty(len(text) + 1, np.uint16)
-        s[:-1] = np.frombuffer(text, np.uint8)
-        s += 2
-        s[start[1:] - 1] = 1
-        s[-1] = 0
-        sa = suffix_array(s, 258)
-        plcp, phi = common_prefixes(s, sa)
-        hit = plcp >= WINDOW
-        hit[phi[hit]] = True
-        # only windows inside a context count, not what reaches over its end
-        inside = np.zeros(len(s) + 1, np.int32)
-        np.add.at(inside, start, 1)
-        np.add.at(inside, start + windows, -1)
-        hit &= np.cumsum(inside[:-1]) > 0
-        low, high = _runs(hit)
-        at = np.searchsorted(start, low, "right") - 1
-        take = lambda c: shard.column(c).combine_chunks().take(pa.array(at))
-        return pa.table([take("fp"), take("context"), pa.array((low - start[at]).astype(np.int32)), pa.array((high - start[at]).astype(np.int32))], ["fp", "context", "low", "high"])
-
-    return sharded.groupBy("shard").applyInArrow(run, _SPANS)
-
-
-def _matched(sharded: DataFrame) -> DataFrame:
-    """(fp, context, again): how many windows of words of each context stand in another one as well."""
-
-    def run(shard: pa.Table) -> pa.Table:
-        shard = shard.combine_chunks()
-        pieces = shard.column("piece").to_pylist()
-        context = np.repeat(np.arange(len(pieces)), [len(p) // 8 for p in pieces])
-        hashes = np.frombuffer(b"".join(pieces), np.uint64)
-        order = np.lexsort((context, hashes))
-        hashes, context = hashes[order], context[order]
-        new = np.diff(hashes, prepend=~hashes[:1]) != 0
-        group = np.cumsum(new) - 1
-        kinds = np.bincount(group, new | (np.diff(context, prepend=-1) != 0))
-        times = np.bincount(group)
-        # within one context, too: a passage can repeat in the same text
-        again = np.bincount(context, (kinds[group] > 1) | (times[group] > 1), minlength=len(pieces)).astype(np.int32)
-        hit = np.flatnonzero(again)
-        return pa.table([shard.column("fp").take(pa.array(hit)), shard.column("context").take(pa.array(hit)), pa.array(again[hit])], ["fp", "context", "again"])
-
-    return sharded.groupBy("shard").applyInArrow(run, "fp long, context long, again int")
+    return keep_mapped(rows.select("text", "cuts"), run, "fp long, context long, windows int, shard long, piece binary, words boolean")
+
+
+def _marked(shard: pa.Table) -> pa.Table:
+    """(fp, context, low, high) of a shard of bytes: runs of repeated windows, by its suffix array."""
+    shard = shard.combine_chunks()
+    windows = np.asarray(shard.column("windows"), np.int64)
+    text = b"\x00".join(shard.column("piece").to_pylist())
+    # 0 ends the string, 1 stands between contexts, bytes follow
+    size = windows + WINDOW - 1
+    start = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
+    s = np.empty(len(text) + 1, np.uint16)
+    s[:-1] = np.frombuffer(text, np.uint8)
+    s += 2
+    s[start[1:] - 1] = 1
+    s[-1] = 0
+    sa = suffix_array(s, 258)
+    plcp, phi = common_prefixes(s, sa)
+    hit = plcp >= WINDOW
+    hit[phi[hit]] = True
+    # only windows inside a context count, not what reaches over its end
+    inside = np.zeros(len(s) + 1, np.int32)
+    np.add.at(inside, start, 1)
+    np.add.at(inside, start + windows, -1)
+    hit &= np.cumsum(inside[:-1]) > 0
+    low, high = _runs(hit)
+    at = np.searchsorted(start, low, "right") - 1
+    take = lambda c: shard.column(c).combine_chunks().take(pa.array(at))
+    return pa.table([take("fp"), take("context"), pa.array((low - start[at]).astype(np.int32)), pa.array((high - start[at]).astype(np.int32))], ["fp", "context", "low", "high"])
+
+
+def _matched(shard: pa.Table) -> pa.Table:
+    """(fp, context, null, again) of a shard of words: how many windows of each context stand in another one as well."""
+    shard = shard.combine_chunks()
+    pieces = shard.column("piece").to_pylist()
+    context = np.repeat(np.arange(len(pieces)), [len(p) // 8 for p in pieces])
+    hashes = np.frombuffer(b"".join(pieces), np.uint64)
+    order = np.lexsort((context, hashes))
+    hashes, context = hashes[order], context[order]
+    new = np.diff(hashes, prepend=~hashes[:1]) != 0
+    group = np.cumsum(new) - 1
+    kinds = np.bincount(group, new | (np.diff(context, prepend=-1) != 0))
+    times = np.bincount(group)
+    # within one context, too: a passage can repeat in the same text
+    again = np.bincount(context, (kinds[group] > 1) | (times[group] > 1), minlength=len(pieces)).astype(np.int32)
+    hit = np.flatnonzero(again)
+    return pa.table([shard.column("fp").take(pa.array(hit)), shard.column("context").take(pa.array(hit)), pa.nulls(len(hit), pa.int32()), pa.array(again[hit])], ["fp", "context", "low", "high"])
+
+
+def _compared(sharded: DataFrame) -> DataFrame:
+    """(fp, context, low, high, words), written: what _marked and _matched tell of the shards."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard in groups(batches, "shard"):
+            words = shard.column("words")[0].as_py()
+            found = (_matched if words else _marked)(shard)
+            yield from found.append_column("words", pa.array(np.full(len(found), words))).to_batches()
+
+    return keep_mapped(sharded.repartition("shard").sortWithinPartitions("shard"), run, "fp long, context long, low int, high int, words boolean")
 
 
 def _matched_many(pieces: DataFrame) -> DataFrame:
-    """The same for fingerprints of very many contexts, by counting windows, which combines before it is shuffled."""
+    """(fp, context, again), as _matched, for fingerprints of very many contexts, by counting windows, which combines before it is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,13 +204,13 @@ def _matched_many(pieces: DataFrame) -> DataFrame:
                 row = pa.array(np.repeat(np.arange(i, i + len(held)), [len(p) // 8 for p in held]))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(np.frombuffer(b"".join(held), np.int64))], ["fp", "context", "window"])
 
-    every = keep(pieces.select("fp", "context", "piece").mapInArrow(run, "fp long, context long, window long"))
+    every = keep_mapped(pieces.select("fp", "context", "piece"), run, "fp long, context long, window long")
     again = every.groupBy("fp", "window").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
     return every.join(again, ["fp", "window"]).groupBy("fp", "context").agg(F.count(F.lit(1)).cast("int").alias("again"))
 
 
 def _counted(pieces: DataFrame) -> DataFrame:
-    """The same for fingerprints of very many contexts, by counting window fingerprints."""
+    """(fp, context, low, high), as _marked, for fingerprints of very many contexts, by counting window fingerprints."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -221,7 +222,7 @@ def _counted(pieces: DataFrame) -> DataFrame:
                 hashes = piece_hash(sums, inverse, at, at + WINDOW)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(n, batch.column(0)[i].as_py())), pa.array(np.full(n, batch.column(1)[i].as_py())), pa.array(at.astype(np.int32)), pa.array(hashes.astype(np.int64))], ["fp", "context", "low", "window"])
 
-    every = keep(pieces.select("fp", "context", "piece").mapInArrow(run, "fp long, context long, low int, window long"))
+    every = keep_mapped(pieces.select("fp", "context", "piece"), run, "fp long, context long, low int, window long")
     again = every.groupBy("fp", "window").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
     return every.join(again, ["fp", "window"]).select("fp", "context", "low", F.col("low").alias("high"))
 
@@ -229,30 +230,31 @@ def _counted(pieces: DataFrame) -> DataFrame:
 def repeated(docs: DataFrame) -> DataFrame:
     """(h, spans array<struct<low, high>>, passages) of docs (h, text), for rows that have any: runs of repeated window
     starts in bytes, and how many windows of words repeat."""
-    rows = keep(anchored(docs))
+    rows = anchored(docs)
     contexts = rows.groupBy("words", "fp", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("h", "start", "windows", "size")).alias("first"))
     contexts = contexts.select("words", "fp", "context", "n", "first.*")
     shared = contexts.groupBy("words", "fp").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("rows")).filter("rows > 1").select("words", "fp", "kinds")
-    marked = keep(contexts.join(shared, ["words", "fp"]))
+    marked = keep_mapped(contexts.join(shared, ["words", "fp"]))
     several = marked.filter("kinds > 1")
     bulk = {r.words: r.size for r in several.groupBy("words").agg(F.sum(F.when(F.col("words"), 8 * F.col("windows")).otherwise(F.col("size") + 1)).alias("size")).collect()}
     # shards of bytes come before those of words
     byte_shards, word_shards = (max(1, (bulk.get(k) or 0) // size) for k, size in ((False, SHARD), (True, SHARD // 8)))
     own = F.when(F.col("words"), byte_shards + F.pmod(F.xxhash64("fp"), F.lit(word_shards))).otherwise(F.pmod(F.xxhash64("fp"), F.lit(byte_shards)))
     several = several.withColumn("shard", F.when(F.col("kinds") <= MOST_CONTEXTS, own))
-    pieces = keep(_pieces(docs, several.select("fp", "context", "h", "start", "windows", "size", "words", "shard")))
+    pieces = _pieces(docs, several.select("fp", "context", "h", "start", "windows", "size", "words", "shard"))
     few = F.col("shard").isNotNull()
-    by_bytes, by_words = pieces.filter(~F.col("words")).drop("words"), pieces.filter("words").drop("words")
-    spans = _marked(by_bytes.filter(few)).unionByName(_counted(by_bytes.filter(~few)))
-    told = _matched(by_words.filter(few)).unionByName(_matched_many(by_words.filter(~few)))
+    compared, many = _compared(pieces.filter(few)), pieces.filter(~few)
+    spans = compared.filter(~F.col("words")).drop("words").unionByName(_counted(many.filter(~F.col("words"))))
+    told = compared.filter("words").select("fp", "context", F.col("high").alias("again")).unionByName(_matched_many(many.filter("words")))
     twice = marked.filter("n > 1")
     whole = twice.filter(~F.col("words")).select("fp", "context", F.lit(0).alias("low"), (F.col("windows") - 1).alias("high"))
     # contexts that occur twice are repeated as a whole, whatever the comparison of the others has found
     once = told.join(twice.filter("words").select("fp", "context"), ["fp", "context"], "left_anti").select("fp", "context", F.lit(None).cast("int").alias("low"), F.col("again").alias("high"))
     every = twice.filter("words").select("fp", "context", F.lit(None).cast("int").alias("low"), F.col("windows").alias("high"))
     spans = spans.unionByName(whole).withColumn("words", F.lit(False))
-    spans = keep(spans.unionByName(once.unionByName(every).withColumn("words", F.lit(True))))
+    spans = keep_mapped(spans.unionByName(once.unionByName(every).withColumn("words", F.lit(True))))
     drop(pieces)
+    drop(compared)
     drop(marked)
     placed = rows.select("h", "fp", "context", "start", "words").join(spans, ["words", "fp", "context"])
     span = F.struct((F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high")).alias("high"))
@@ -272,7 +274,7 @@ def remove(docs: DataFrame, with_text: bool = True) -> DataFrame:
     kept is binary: a removed run may begin inside a character."""
     names = [c for c in docs.columns if c not in ("kept", *_NAMES) and (with_text or c != "text")]
     keyed = docs.withColumn("__h", F.xxhash64("doc_id", "text"))
-    found = keep(repeated(keyed.filter(F.length("text") > 0).select(F.col("__h").alias("h"), "text")).select(F.col("h").alias("__h"), F.col("spans").alias("__spans"), F.col("passages").alias("__passages")))
+    found = keep_mapped(repeated(keyed.filter(F.length("text") > 0).select(F.col("__h").alias("h"), "text")).select(F.col("h").alias("__h"), F.col("spans").alias("__spans"), F.col("passages").alias("__passages")))
     # texts without a span are described where they are, without Python; if few have any, the others are not shuffled
     if found.count() <= FEW:
         keys = F.broadcast(found.select("__h"))
@@ -282,6 +284,7 @@ def remove(docs: DataFrame, with_text: bool = True) -> DataFrame:
     else:
         joined = keyed.join(found, "__h", "left")
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k = batch.schema.get_field_index("text")
